@@ -15,13 +15,16 @@ def scalar_count(df: DataFrame) -> Column:
     return df.groupBy().agg(F.count(F.lit(1)).alias("n")).scalar()
 
 
-def postings(docs: DataFrame, tokens: str = "tokens", keep: Sequence[str] = ()) -> DataFrame:
+def postings(docs: DataFrame, tokens: str = "tokens", keep: Sequence[str] = (),
+             placed: bool = False) -> DataFrame:
     """Term counts per document.
 
-    Token arrays are shuffled once by document; exploding, counting and every
-    later per-document window then stay inside the partition.
+    Token arrays are shuffled once by document (unless ``placed`` says they
+    already are); exploding, counting and every later per-document window then
+    stay inside the partition.
     """
-    placed = docs.select("doc_id", *keep, tokens).repartition("doc_id")
+    rows = docs.select("doc_id", *keep, tokens)
+    placed = rows if placed else rows.repartition("doc_id")
     return (placed.select("doc_id", *keep, F.explode(tokens).alias("term"))
             .groupBy("doc_id", *keep, "term").agg(F.count(F.lit(1)).alias("tf")))
 

@@ -67,9 +67,13 @@ def labelled_raw(spark: SparkSession, data: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, data: str) -> DataFrame:
-    """Cleaned labelled corpus with its word tokens."""
+    """Cleaned labelled corpus with its word tokens.
+
+    The one shuffle by ``doc_id`` comes before the cleaning: it evens out the
+    work over the tasks, and later per-document steps need no other.
+    """
     return shared(spark, data, "labelled", lambda: (
-        labelled_raw(spark, data)
+        labelled_raw(spark, data).repartition("doc_id")
         .withColumn("clean_text", clean_text(F.col("text"))).filter(F.col("clean_text") != "")
         .select("doc_id", "label", "source", "clean_text",
                 tokenize(F.col("clean_text"), "word").alias("tokens"))))
@@ -78,17 +82,18 @@ def labelled(spark: SparkSession, data: str) -> DataFrame:
 def documents(spark: SparkSession, data: str) -> DataFrame:
     """All documents, cleaned, with their word tokens."""
     return shared(spark, data, "documents", lambda: (
-        table(spark, data, "documents").select("doc_id", "source", clean_text(F.col("text")).alias("clean_text"))
+        table(spark, data, "documents").select("doc_id", "source", "text").repartition("doc_id")
+        .select("doc_id", "source", clean_text(F.col("text")).alias("clean_text"))
         .withColumn("tokens", tokenize(F.col("clean_text"), "word"))))
 
 
 def labelled_postings(spark: SparkSession, data: str) -> DataFrame:
     return shared(spark, data, "labelled_postings",
-                  lambda: terms.postings(labelled(spark, data), keep=["label"]))
+                  lambda: terms.postings(labelled(spark, data), keep=["label"], placed=True))
 
 
 def document_postings(spark: SparkSession, data: str) -> DataFrame:
-    return shared(spark, data, "document_postings", lambda: terms.postings(documents(spark, data)))
+    return shared(spark, data, "document_postings", lambda: terms.postings(documents(spark, data), placed=True))
 
 
 def labelled_split(spark: SparkSession, data: str) -> DataFrame:
