@@ -7,7 +7,8 @@ Character classes are spelled out with Unicode properties because ``\\w`` and
 from __future__ import annotations
 
 import json
-from html.entities import html5
+from collections.abc import Callable
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,6 +42,22 @@ def is_blank(col: Column) -> Column:
     return ~col.rlike(rf"[^{SPACES}]")
 
 
+#: The HTML 4 names plus every name of an ASCII character: a small literal,
+#: because it travels in each plan that cleans text.
+NAMED_ENTITIES = {
+    f"&{name}": value for name, value in html5.items()
+    if name.endswith(";") and (name[:-1] in name2codepoint or value.isascii())}
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once and named once in the plan.
+
+    A body that mentions its input several times would otherwise copy the
+    whole expression beneath it each time.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def html_unescape(col: Column) -> Column:
     """Decode named and numeric character references in one left-to-right pass.
 
@@ -48,9 +65,7 @@ def html_unescape(col: Column) -> Column:
     is looked up (named) or computed from its code point (numeric).  Texts
     without a reference skip the work.
     """
-    named = F.from_json(
-        F.lit(json.dumps({f"&{k}": v for k, v in html5.items() if k.endswith(";")})),
-        "map<string,string>")
+    named = F.from_json(F.lit(json.dumps(NAMED_ENTITIES)), "map<string,string>")
 
     def from_code_point(code: Column) -> Column:
         valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
@@ -67,8 +82,11 @@ def html_unescape(col: Column) -> Column:
             .otherwise(F.coalesce(F.element_at(named, piece), piece))
         )
 
-    pieces = F.regexp_extract_all(col, F.lit(rf"{ENTITY}|[^&]+|&"), F.lit(0))
-    return F.when(col.rlike(ENTITY), F.array_join(F.transform(pieces, decode), "")).otherwise(col)
+    def whole(text: Column) -> Column:
+        pieces = F.regexp_extract_all(text, F.lit(rf"{ENTITY}|[^&]+|&"), F.lit(0))
+        return F.when(text.rlike(ENTITY), F.array_join(F.transform(pieces, decode), "")).otherwise(text)
+
+    return let(col, whole)
 
 
 def strip_tags(col: Column) -> Column:
@@ -120,10 +138,13 @@ def replace_words(col: Column, pairs: dict[str, str] | None = None) -> Column:
     def whole_word(keys: list[str]) -> str:
         return rf"(?<!{WORD_CHAR})(?:{'|'.join(keys)})(?!{WORD_CHAR})"
 
-    rewritten = col
-    for value, keys in by_value.items():
-        rewritten = F.regexp_replace(rewritten, whole_word(keys), value)
-    return F.when(col.rlike(whole_word(list(pairs))), rewritten).otherwise(col)
+    def rewrite(text: Column) -> Column:
+        rewritten = text
+        for value, keys in by_value.items():
+            rewritten = F.regexp_replace(rewritten, whole_word(keys), value)
+        return F.when(text.rlike(whole_word(list(pairs))), rewritten).otherwise(text)
+
+    return let(col, rewrite)
 
 
 def clean_text(col: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import LABELS
-from .terms import scalar_count
+from .terms import attach, top_per_group
 
 EPS = 1e-12
 
@@ -31,19 +31,16 @@ def fit(train: DataFrame, vocab: DataFrame, alphas: Sequence[float] = (1.0,),
         F.sum(F.when(F.col("label") == c, F.col(value)).otherwise(0.0)).alias(f"s_{c}") for c in labels])
     grid = vocab.select("term").join(sums, "term", "left").fillna(0.0)
     totals = grid.groupBy().agg(
-        F.count(F.lit(1)).alias("v"), *[F.sum(f"s_{c}").alias(c) for c in labels])
-    one = totals.select(F.struct("*").alias("t")).scalar()
-    wide = grid.withColumn("_t", one)
-    return wide.select("term", *[
-        F.log((F.col(f"s_{c}") + a) / (F.col(f"_t.{c}") + a * F.col("_t.v")) + EPS).alias(f"lp_{i}_{c}")
+        F.count(F.lit(1)).alias("v"), *[F.sum(f"s_{c}").alias(f"t_{c}") for c in labels])
+    return attach(grid, totals).select("term", *[
+        F.log((F.col(f"s_{c}") + a) / (F.col(f"t_{c}") + a * F.col("v")) + EPS).alias(f"lp_{i}_{c}")
         for i, a in enumerate(alphas) for c in labels])
 
 
-def log_prior(train_docs: DataFrame, label: str) -> Column:
-    """ln P(class) as a scalar subquery over the training documents."""
-    n = scalar_count(train_docs)
-    n_c = scalar_count(train_docs.filter(F.col("label") == label))
-    return F.log(n_c / n + EPS)
+def log_priors(train_docs: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:
+    """One row with ``prior_<label>`` = ln P(class)."""
+    return train_docs.agg(*[
+        F.log(F.avg((F.col("label") == c).cast("double")) + EPS).alias(f"prior_{c}") for c in labels])
 
 
 def score(docs: DataFrame, rows: DataFrame, model: DataFrame, train_docs: DataFrame,
@@ -58,10 +55,7 @@ def score(docs: DataFrame, rows: DataFrame, model: DataFrame, train_docs: DataFr
     sums = rows.join(F.broadcast(model), "term").groupBy("doc_id").agg(*[
         F.sum(F.col(value) * F.col(f"lp_{i}_{c}")).alias(f"l_{i}_{c}")
         for i in range(len(alphas)) for c in labels])
-    prior = {c: log_prior(train_docs, c) for c in labels}
-    joined = docs.select("doc_id", *keep).join(sums, "doc_id", "left")
-    # scalars are attached as columns first: generators cannot hold subqueries
-    joined = joined.select("*", *[prior[c].alias(f"prior_{c}") for c in labels])
+    joined = attach(docs.select("doc_id", *keep).join(sums, "doc_id", "left"), log_priors(train_docs, labels))
 
     def one(i: int, a: float) -> Column:
         return F.struct(F.lit(float(a)).alias("alpha"), *[
@@ -97,15 +91,13 @@ def explain(rows: DataFrame, model: DataFrame, predicted: DataFrame, n: int = 10
     A contribution is the term's weight times its log-odds; the sign is seen
     from the predicted class.
     """
-    from .terms import top_per_group
-
     first, second = sorted(labels)
     odds = model.select("term", (F.col(f"lp_0_{second}") - F.col(f"lp_0_{first}")).alias("coef"))
-    return contributions(rows, odds, predicted, n, second, value, top_per_group)
+    return contributions(rows, odds, predicted, n, second, value)
 
 
 def contributions(rows: DataFrame, coefficients: DataFrame, predicted: DataFrame, n: int,
-                  positive: str, value: str, top_per_group) -> DataFrame:
+                  positive: str, value: str = "weight") -> DataFrame:
     """Shared by Naive Bayes and linear models; coefficients are vocabulary-sized."""
     sign = F.when(F.col("prediction") == positive, 1.0).otherwise(-1.0)
     parts = (rows.filter(F.col(value) > 0).join(F.broadcast(coefficients), "term")

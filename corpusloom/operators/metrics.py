@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import LABELS
 from ..functions.numbers import ratio
 from .sampling import sample_exact
+from .terms import attach
 
 
 def confusion(pred: DataFrame, labels: Sequence[str] = LABELS, by: Sequence[str] = ()) -> DataFrame:
@@ -113,9 +114,9 @@ def error_summary(pred: DataFrame, sample: int = 30, seed: int = 42) -> DataFram
     drawn = sample_exact(pred.filter(wrong), sample, seed=seed).agg(
         F.count(F.lit(1)).alias("sampled"),
         F.coalesce(F.sum(fake_for_real.cast("long")), F.lit(0)).alias("sampled_false_positive"))
-    both = totals.withColumn("d", drawn.select(F.struct("*").alias("d")).scalar())
+    both = attach(totals, drawn)
     return both.select(
         "evaluated", "wrong", F.round(ratio(F.col("wrong"), F.col("evaluated")), 6).alias("rate"),
         "false_positive", (F.col("wrong") - F.col("false_positive")).alias("false_negative"),
-        F.col("d.sampled").alias("sampled"), F.col("d.sampled_false_positive").alias("sampled_false_positive"),
-        (F.col("d.sampled") - F.col("d.sampled_false_positive")).alias("sampled_false_negative"))
+        "sampled", "sampled_false_positive",
+        (F.col("sampled") - F.col("sampled_false_positive")).alias("sampled_false_negative"))

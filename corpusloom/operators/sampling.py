@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import order_key
+from .terms import attach
 
 PREFIX_DIGITS = 4
 
@@ -43,9 +44,8 @@ def mark_first(df: DataFrame, want: Column, by: Sequence[str] = (), key: str = "
         # one row per group
         joined = hashed.join(cut, by, "left")
     else:
-        one = cut.select(F.struct("_cut", "_rest").alias("c")).agg(F.first("c").alias("c")).scalar()
-        joined = hashed.withColumn("_c", one).select(
-            *hashed.columns, F.col("_c._cut").alias("_cut"), F.col("_c._rest").alias("_rest"))
+        one = cut.agg(F.first("_cut").alias("_cut"), F.first("_rest").alias("_rest"))
+        joined = attach(hashed, one)
     at_cut = joined.filter(F.col("_prefix") == F.col("_cut"))
     ranked = at_cut.withColumn("_rank", F.row_number().over(
         Window.partitionBy(*by, "_prefix").orderBy("_key", key)))

@@ -10,9 +10,18 @@ from pyspark.sql import functions as F
 from ..functions.fixed import LABELS
 
 
-def scalar_count(df: DataFrame) -> Column:
-    """Row count as a scalar subquery, so no action runs while planning."""
-    return df.groupBy().agg(F.count(F.lit(1)).alias("n")).scalar()
+def count_row(df: DataFrame, name: str = "n_docs") -> DataFrame:
+    """The row count as a one-row frame, so no action runs while planning."""
+    return df.agg(F.count(F.lit(1)).alias(name))
+
+
+def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Adds the columns of a one-row aggregate to every row.
+
+    ``one_row`` must come from an ungrouped ``agg``: it is broadcast as a
+    single row, so this never multiplies rows.
+    """
+    return df.crossJoin(F.broadcast(one_row))
 
 
 def postings(docs: DataFrame, tokens: str = "tokens", keep: Sequence[str] = (),
@@ -53,20 +62,19 @@ def bow(post: DataFrame, vocab: DataFrame) -> DataFrame:
     return post.join(F.broadcast(vocab.select("term")), "term")
 
 
-def sparsity(counts: DataFrame, n_docs: Column, n_terms: Column) -> DataFrame:
-    cells = n_docs.cast("double") * n_terms.cast("double")
-    stats = counts.groupBy().agg(F.count(F.lit(1)).alias("nnz")).select(
-        "nnz", n_docs.alias("n_docs"), n_terms.alias("n_terms"), cells.alias("cells"))
-    return stats.select(
-        "n_docs", "n_terms", "nnz",
-        F.round(F.when(F.col("cells") == 0, 0.0).otherwise(
-            1.0 - F.col("nnz") / F.when(F.col("cells") != 0, F.col("cells"))), 6).alias("sparsity"))
+def sparsity(counts: DataFrame, docs: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``n_docs, n_terms, nnz`` and the share of empty cells."""
+    one = attach(attach(count_row(counts, "nnz"), count_row(docs)), count_row(vocab, "n_terms"))
+    cells = F.col("n_docs").cast("double") * F.col("n_terms")
+    return one.select("n_docs", "n_terms", "nnz", F.round(
+        F.when(cells == 0, 0.0).otherwise(1.0 - F.col("nnz") / F.when(cells != 0, cells)), 6).alias("sparsity"))
 
 
-def idf(vocab: DataFrame, n_docs: Column, smooth: bool = True) -> DataFrame:
-    value = (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0 if smooth
-             else F.log(n_docs / F.col("df")) + 1.0)
-    return vocab.withColumn("idf", value)
+def idf(vocab: DataFrame, docs: DataFrame, smooth: bool = True) -> DataFrame:
+    """Adds ``idf``; every document of ``docs`` counts, also empty ones."""
+    n, df = F.col("n_docs"), F.col("df")
+    value = F.log((1.0 + n) / (1.0 + df)) + 1.0 if smooth else F.log(n / df) + 1.0
+    return attach(vocab, count_row(docs)).withColumn("idf", value).drop("n_docs")
 
 
 def tf_factor(tf: Column, sublinear: bool = False) -> Column:
@@ -86,10 +94,10 @@ def weigh(post: DataFrame, idfs: DataFrame, sublinear: bool = False,
     return raw.withColumn("weight", F.col("raw") / norm).drop("raw", "idf")
 
 
-def tfidf(post: DataFrame, n_docs: Column, smooth: bool = True, sublinear: bool = False,
+def tfidf(post: DataFrame, docs: DataFrame, smooth: bool = True, sublinear: bool = False,
           max_features: int = 20000) -> DataFrame:
     """Fit and transform in one call."""
-    return weigh(post, idf(vocabulary(post, max_features), n_docs, smooth), sublinear)
+    return weigh(post, idf(vocabulary(post, max_features), docs, smooth), sublinear)
 
 
 # --- rankings per class --------------------------------------------------------
@@ -132,9 +140,11 @@ def discriminative_terms(weights: DataFrame, docs: DataFrame, n: int = 15,
         raise ValueError("discriminative terms need exactly two classes")
     first, second = sorted(labels)
 
-    def side(label: str) -> Column:
-        size = scalar_count(docs.filter(F.col("label") == label))
-        return F.sum(F.when(F.col("label") == label, F.col("weight")).otherwise(0.0)) / size
+    def part(label: str) -> Column:
+        return F.sum(F.when(F.col("label") == label, F.col("weight")).otherwise(0.0)).alias(f"s_{label}")
 
-    diff = weights.groupBy("term").agg(F.round(side(first) - side(second), 6).alias("diff"))
+    sizes = docs.agg(*[F.sum((F.col("label") == c).cast("long")).alias(f"n_{c}") for c in (first, second)])
+    sums = attach(weights.groupBy("term").agg(part(first), part(second)), sizes)
+    diff = sums.select("term", F.round(
+        F.col(f"s_{first}") / F.col(f"n_{first}") - F.col(f"s_{second}") / F.col(f"n_{second}"), 6).alias("diff"))
     return diff.orderBy(F.desc("diff"), "term").limit(n)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_text
 from ..functions.tokens import tokenize
 from ..operators import sampling, terms
+from ..session import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,24 +37,13 @@ _shared: dict[tuple[str, str, str], DataFrame] = {}
 
 def shared(spark: SparkSession, data: str, name: str,
            build: Callable[[], DataFrame]) -> DataFrame:
-    """A frame that many queries start from, kept by Spark after its first use.
-
-    ``persist`` spills to executor disk and is recomputed from the source if
-    an executor is lost.
-    """
+    """A frame that many queries start from, computed at its first use."""
     key = (spark.sparkContext.applicationId, data, name)
     if key not in _shared:
-        _shared[key] = build().persist()
+        _shared[key] = settle(build())
     return _shared[key]
 
 
-def release(spark: SparkSession) -> None:
-    """Drops every shared frame of this application."""
-    app = spark.sparkContext.applicationId
-    for key in [k for k in _shared if k[0] == app]:
-        _shared.pop(key).unpersist()
-
-
 def labelled_raw(spark: SparkSession, data: str) -> DataFrame:
     """``doc_id, text, label, source`` of the labelled documents.
 

@@ -15,10 +15,6 @@ MAX_FEATURES = 20000
 N_DOCS = "SELECT count(*) FROM corpus"
 
 
-def _n(spark: SparkSession, data: str):
-    return terms.scalar_count(labelled(spark, data))
-
-
 @query("vocabulary_top", f"""WITH {sql.POSTINGS}, {sql.vocab(5000)}
 SELECT term, corpus_tf, df FROM vocab""")
 def vocabulary_top(spark: SparkSession, data: str) -> DataFrame:
@@ -40,7 +36,7 @@ FROM s""")
 def bow_sparsity(spark: SparkSession, data: str) -> DataFrame:
     post = labelled_postings(spark, data)
     vocab = terms.vocabulary(post, MAX_FEATURES)
-    return terms.sparsity(terms.bow(post, vocab), _n(spark, data), terms.scalar_count(vocab))
+    return terms.sparsity(terms.bow(post, vocab), labelled(spark, data), vocab)
 
 
 @query("top_terms_per_class", f"""WITH {sql.POSTINGS}, {sql.vocab(MAX_FEATURES)},
@@ -54,7 +50,7 @@ def top_terms_per_class(spark: SparkSession, data: str) -> DataFrame:
 
 
 def _weights(spark: SparkSession, data: str, smooth: bool, sublinear: bool) -> DataFrame:
-    return terms.tfidf(labelled_postings(spark, data), _n(spark, data), smooth, sublinear, MAX_FEATURES)
+    return terms.tfidf(labelled_postings(spark, data), labelled(spark, data), smooth, sublinear, MAX_FEATURES)
 
 
 _VARIANTS = {"standard": (False, False), "smooth": (True, False), "sublinear": (False, True)}
@@ -118,7 +114,7 @@ def tfidf_stopwords(spark: SparkSession, data: str) -> DataFrame:
     parts = None
     for name in ("default", "custom"):
         kept = labelled_postings(spark, data).filter(~in_list(F.col("term"), stopwords(name)))
-        part = terms.tfidf(kept, _n(spark, data), True, False, MAX_FEATURES).select(
+        part = terms.tfidf(kept, labelled(spark, data), True, False, MAX_FEATURES).select(
             F.lit(name).alias("list"), "doc_id", "term", F.round("weight", 6).alias("weight"))
         parts = part if parts is None else parts.unionByName(part)
     return parts

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that hold on a laptop and on a cluster alike.  Shuffle partitions
 #: are only a starting point: AQE coalesces small ones and splits skewed ones.
@@ -34,15 +36,29 @@ def local_session(app: str = "corpusloom", cpus: int | str = "*", shuffle_partit
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """The shared checkpoint folder named by the cluster, if any.
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder the cluster names, if any.
 
-    ``fallback`` is only used when the cluster names none (tests).
+    Only a local master, where no folder is named, gets a temporary one: on a
+    cluster a machine-local folder would be lost with its machine.
     """
-    current = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    current = context.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and context.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="corpusloom-checkpoint-")
+    if folder:
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Computes ``df`` once and cuts its lineage.
+
+    Written to the shared checkpoint folder, so it survives lost executors,
+    keeps its partitioning and keeps later plans short.  Where no such folder
+    exists the frame is persisted instead.
+    """
+    return df.checkpoint(eager=True) if checkpoint_dir(df.sparkSession) else df.persist()
