@@ -118,3 +118,87 @@ def tfidf_stopwords(spark: SparkSession, data: str) -> DataFrame:
             F.lit(name).alias("list"), "doc_id", "term", F.round("weight", 6).alias("weight"))
         parts = part if parts is None else parts.unionByName(part)
     return parts
+
+
+# --- transform, retrieval, similarity ---------------------------------------------
+
+from ..functions.text import clean_text  # noqa: E402
+from ..functions.tokens import tokenize  # noqa: E402
+from ..operators import retrieve  # noqa: E402
+from .base import labelled_raw, shared  # noqa: E402
+
+N_ALL = "SELECT count(*) FROM docs"
+QUERY_SQL = f"""qpost AS (SELECT query_id, term, count(*) AS tf FROM (
+  SELECT item_id AS query_id, unnest({sql.words(sql.clean('text'))}) AS term FROM benchmark) GROUP BY ALL)"""
+CORPUS_SQL = f"""{sql.DOC_POSTINGS}, {sql.vocab(MAX_FEATURES)},
+{sql.weights(N_ALL, False, False, cols='doc_id')}"""
+
+
+def _query_postings(spark: SparkSession, data: str) -> DataFrame:
+    toks = table(spark, data, "benchmark").select(
+        F.col("item_id").alias("doc_id"), tokenize(clean_text(F.col("text")), "word").alias("tokens"))
+    return terms.postings(toks).withColumnRenamed("doc_id", "query_id")
+
+
+def _corpus_idf(spark: SparkSession, data: str) -> DataFrame:
+    return shared(spark, data, "corpus_idf", lambda: terms.idf(
+        terms.vocabulary(document_postings(spark, data), MAX_FEATURES), documents(spark, data), False))
+
+
+def _corpus_weights(spark: SparkSession, data: str) -> DataFrame:
+    return shared(spark, data, "corpus_weights", lambda: terms.weigh(
+        document_postings(spark, data), _corpus_idf(spark, data)))
+
+
+@query("tfidf_transform", f"""WITH {CORPUS_SQL}, {QUERY_SQL},
+{sql.weights(N_ALL, False, False, 'qpost', name='qw', cols='query_id', key='query_id')}
+SELECT query_id, term, round(weight, 6) AS weight FROM qw""")
+def tfidf_transform(spark: SparkSession, data: str) -> DataFrame:
+    return terms.weigh(_query_postings(spark, data), _corpus_idf(spark, data), doc="query_id").select(
+        "query_id", "term", F.round("weight", 6).alias("weight"))
+
+
+@query("retrieve_topk", f"""WITH {CORPUS_SQL}, {QUERY_SQL},
+{sql.weights(N_ALL, False, False, 'qpost', name='qw', cols='query_id', key='query_id')},
+s AS (SELECT qw.query_id, w.doc_id, round(sum(qw.weight * w.weight), 6) AS cosine FROM qw JOIN w ON qw.term = w.term GROUP BY ALL)
+SELECT query_id, doc_id, cosine, rank::INTEGER AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, doc_id) AS rank FROM s) WHERE rank <= 10""")
+def retrieve_topk(spark: SparkSession, data: str) -> DataFrame:
+    queries = terms.weigh(_query_postings(spark, data), _corpus_idf(spark, data), doc="query_id")
+    return retrieve.top_k(queries, _corpus_weights(spark, data), 10)
+
+
+@query("retrieve_claims", f"""WITH {sql.POSTINGS}, {sql.vocab(5000)},
+{sql.weights('SELECT count(*) FROM corpus', True, False)}, {QUERY_SQL},
+{sql.weights('SELECT count(*) FROM corpus', True, False, 'qpost', name='qw', cols='query_id', key='query_id')},
+s AS (SELECT qw.query_id, w.doc_id, round(sum(qw.weight * w.weight), 6) AS cosine FROM qw JOIN w ON qw.term = w.term GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, doc_id) AS rank FROM s)
+SELECT r.query_id, c.doc_id, md5(c.clean_text) AS claim_md5, c.label, c.source, r.cosine AS cosine_similarity, r.rank::INTEGER AS rank
+FROM r JOIN corpus c ON c.doc_id = r.doc_id WHERE rank <= 5""")
+def retrieve_claims(spark: SparkSession, data: str) -> DataFrame:
+    corpus = labelled(spark, data)
+    post = labelled_postings(spark, data)
+    idfs = terms.idf(terms.vocabulary(post, 5000), corpus)
+    queries = terms.weigh(_query_postings(spark, data), idfs, doc="query_id")
+    best = retrieve.top_k(queries, terms.weigh(post, idfs), 5)
+    return best.join(corpus, "doc_id").select(
+        "query_id", "doc_id", F.md5("clean_text").alias("claim_md5"), "label", "source",
+        F.col("cosine").alias("cosine_similarity"), "rank")
+
+
+@query("similar_pairs", f"""WITH {CORPUS_SQL},
+bags AS (SELECT doc_id, string_agg(term || ':' || tf, ' ' ORDER BY term) AS bag FROM w GROUP BY doc_id),
+reps AS (SELECT min(doc_id) AS doc_id, count(*) AS copies FROM bags GROUP BY bag),
+u AS (SELECT w.doc_id, w.term, w.weight, r.copies FROM w JOIN reps r ON r.doc_id = w.doc_id)
+SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, a.copies AS copies_a, b.copies AS copies_b,
+  round(sum(a.weight * b.weight), 6) AS cosine
+FROM u a JOIN u b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY ALL HAVING round(sum(a.weight * b.weight), 6) >= 0.8""")
+def similar_pairs(spark: SparkSession, data: str) -> DataFrame:
+    return retrieve.similar_pairs(_corpus_weights(spark, data), 0.8)
+
+
+@query("corpus_centrality", f"""WITH {CORPUS_SQL}, c AS (SELECT term, sum(weight) AS s FROM w GROUP BY term)
+SELECT doc_id, round(sum(w.weight * c.s) / ({N_ALL}), 6) AS score FROM w JOIN c ON w.term = c.term
+GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 10""")
+def corpus_centrality(spark: SparkSession, data: str) -> DataFrame:
+    return retrieve.centrality(_corpus_weights(spark, data), documents(spark, data), 10)
