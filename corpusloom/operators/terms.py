@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import LABELS
+from ..session import spread
 
 
 def count_row(df: DataFrame, name: str = "n_docs") -> DataFrame:
@@ -33,7 +34,7 @@ def postings(docs: DataFrame, tokens: str = "tokens", keep: Sequence[str] = (),
     stay inside the partition.
     """
     rows = docs.select("doc_id", *keep, tokens)
-    placed = rows if placed else rows.repartition("doc_id")
+    placed = rows if placed else spread(rows, "doc_id")
     return (placed.select("doc_id", *keep, F.explode(tokens).alias("term"))
             .groupBy("doc_id", *keep, "term").agg(F.count(F.lit(1)).alias("tf")))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_text
 from ..functions.tokens import tokenize
 from ..operators import sampling, terms
-from ..session import settle
+from ..session import settle, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,7 +63,7 @@ def labelled(spark: SparkSession, data: str) -> DataFrame:
     work over the tasks, and later per-document steps need no other.
     """
     return shared(spark, data, "labelled", lambda: (
-        labelled_raw(spark, data).repartition("doc_id")
+        spread(labelled_raw(spark, data), "doc_id")
         .withColumn("clean_text", clean_text(F.col("text"))).filter(F.col("clean_text") != "")
         .select("doc_id", "label", "source", "clean_text",
                 tokenize(F.col("clean_text"), "word").alias("tokens"))))
@@ -72,7 +72,7 @@ def labelled(spark: SparkSession, data: str) -> DataFrame:
 def documents(spark: SparkSession, data: str) -> DataFrame:
     """All documents, cleaned, with their word tokens."""
     return shared(spark, data, "documents", lambda: (
-        table(spark, data, "documents").select("doc_id", "source", "text").repartition("doc_id")
+        spread(table(spark, data, "documents").select("doc_id", "source", "text"), "doc_id")
         .select("doc_id", "source", clean_text(F.col("text")).alias("clean_text"))
         .withColumn("tokens", tokenize(F.col("clean_text"), "word"))))
 

@@ -62,3 +62,13 @@ def settle(df: DataFrame) -> DataFrame:
     exists the frame is persisted instead.
     """
     return df.checkpoint(eager=True) if checkpoint_dir(df.sparkSession) else df.persist()
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partitions by unique keys into ``spark.sql.shuffle.partitions`` parts.
+
+    The explicit number keeps AQE from merging parts by their bytes: text work
+    costs far more time per byte than AQE assumes.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
