@@ -24,9 +24,6 @@ NEWS = ("isotfakenews", {"Fake.csv": "fake", "True.csv": "real"}, {"text", "titl
 STATEMENT_FILES = ("liar-dataset", ["train.tsv", "valid.tsv", "test.tsv"])
 GENERATED = ("generated_fakenews", "fake_news_dataset.csv")
 
-REPLACEMENT = "�"
-
-
 def label_from_file_name(name: Column) -> Column:
     """``fake`` is tested before ``real``; other names give null."""
     lower = F.lower(name)
@@ -66,7 +63,7 @@ def read_csv(spark: SparkSession, path: str, encoding: str | None = None) -> Dat
     if encoding:
         return load(encoding)
     text = spark.read.text(path)
-    broken = not text.filter(F.col("value").contains(REPLACEMENT)).isEmpty()
+    broken = not text.filter(~F.is_valid_utf8("value")).isEmpty()
     return load("ISO-8859-1" if broken else "UTF-8")
 
 
