@@ -248,3 +248,92 @@ WHERE regexp_matches(body, {sql.q(f'[^{sql.SP}]')})""")
 def filter_blank(spark: SparkSession, data: str) -> DataFrame:
     body = table(spark, data, "pages").select("page_id", tx.strip_tags(F.col("html")).alias("body"))
     return drop_blank(body, "body").select("page_id", F.char_length("body").alias("n_chars"))
+
+
+# --- word normalisers over the corpus vocabulary -------------------------------------
+
+from ..functions.stems import stem_column  # noqa: E402
+from . import stemsql  # noqa: E402
+
+
+def _vocabulary(spark: SparkSession, data: str) -> DataFrame:
+    return terms.term_stats(labelled_postings(spark, data))
+
+
+def _stemmed(spark: SparkSession, data: str, algorithm: str) -> DataFrame:
+    return shared(spark, data, f"stems_{algorithm}", lambda: stem_column(
+        _vocabulary(spark, data), "term", algorithm, "stem"))
+
+
+VOCAB_SQL = f"""{sql.POSTINGS},
+voc AS (SELECT term, sum(tf)::BIGINT AS corpus_tf FROM post GROUP BY term)"""
+
+
+@query("stem_porter", f"WITH {VOCAB_SQL}, {stemsql.porter('voc', 'porter')} SELECT term, stem FROM porter")
+def stem_porter(spark: SparkSession, data: str) -> DataFrame:
+    return _stemmed(spark, data, "porter").select("term", "stem")
+
+
+@query("stem_snowball", f"WITH {VOCAB_SQL}, {stemsql.snowball('voc', 'snowball')} SELECT term, stem FROM snowball")
+def stem_snowball(spark: SparkSession, data: str) -> DataFrame:
+    return _stemmed(spark, data, "snowball").select("term", "stem")
+
+
+LEMMA_SQL = stemsql.lemmas("voc", "lem")
+
+
+def _lemmas(spark: SparkSession, data: str) -> DataFrame:
+    vocab = _vocabulary(spark, data).select("term")
+    return audit.lemmas(vocab, vocab)
+
+
+@query("lemmatize_dictionary", f"WITH {VOCAB_SQL}, {LEMMA_SQL} SELECT term, lemma FROM lem")
+def lemmatize_dictionary(spark: SparkSession, data: str) -> DataFrame:
+    return _lemmas(spark, data)
+
+
+def _forms(spark: SparkSession, data: str) -> DataFrame:
+    """Vocabulary with every normal form next to its term and count."""
+    porter = _stemmed(spark, data, "porter").select("term", "corpus_tf", F.col("stem").alias("porter"))
+    snowball = _stemmed(spark, data, "snowball").select("term", F.col("stem").alias("snowball"))
+    return porter.join(snowball, "term").join(_lemmas(spark, data), "term")
+
+
+def _by_method(spark: SparkSession, data: str) -> DataFrame:
+    forms = _forms(spark, data)
+    return forms.select("term", "corpus_tf", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("method"), F.col(col).alias("form")) for name, col in (
+            ("identity", "term"), ("porter", "porter"), ("snowball", "snowball"), ("lemmatizer", "lemma"))])).alias("m")
+    ).select("term", "corpus_tf", "m.method", "m.form")
+
+
+_FORMS_SQL = f"""WITH {VOCAB_SQL}, {stemsql.porter('voc', 'porter')}, {stemsql.snowball('voc', 'snowball')}, {LEMMA_SQL},
+forms AS (SELECT 'identity' AS method, term, corpus_tf, term AS form FROM voc
+  UNION ALL SELECT 'porter', p.term, v.corpus_tf, p.stem FROM porter p JOIN voc v ON v.term = p.term
+  UNION ALL SELECT 'snowball', p.term, v.corpus_tf, p.stem FROM snowball p JOIN voc v ON v.term = p.term
+  UNION ALL SELECT 'lemmatizer', p.term, v.corpus_tf, p.lemma FROM lem p JOIN voc v ON v.term = p.term)"""
+
+
+@query("normaliser_vocab", f"{_FORMS_SQL} SELECT method, count(DISTINCT form) AS vocabulary_size FROM forms GROUP BY method")
+def normaliser_vocab(spark: SparkSession, data: str) -> DataFrame:
+    forms = _by_method(spark, data).select("method", "form").distinct()
+    return forms.groupBy("method").agg(F.count(F.lit(1)).alias("vocabulary_size"))
+
+
+@query("normaliser_collisions", f"""{_FORMS_SQL}
+SELECT method, (sum(corpus_tf) - count(DISTINCT form))::BIGINT AS collisions, count(*) - count(DISTINCT form) AS merged_words
+FROM forms GROUP BY method""")
+def normaliser_collisions(spark: SparkSession, data: str) -> DataFrame:
+    # tokens minus distinct forms, and words that share a form with another word
+    forms = _by_method(spark, data).groupBy("method", "form").agg(
+        F.sum("corpus_tf").alias("tokens"), F.count(F.lit(1)).alias("words"))
+    return forms.groupBy("method").agg(
+        (F.sum("tokens") - F.count(F.lit(1))).alias("collisions"),
+        (F.sum("words") - F.count(F.lit(1))).alias("merged_words"))
+
+
+@query("normaliser_term_map", f"""{_FORMS_SQL}
+SELECT p.term, p.stem AS porter, s.stem AS snowball, l.lemma AS lemmatizer
+FROM porter p JOIN snowball s ON s.term = p.term JOIN lem l ON l.term = p.term""")
+def normaliser_term_map(spark: SparkSession, data: str) -> DataFrame:
+    return _forms(spark, data).select("term", "porter", "snowball", F.col("lemma").alias("lemmatizer"))
