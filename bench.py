@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
 from corpusloom.queries import QUERIES, base
@@ -32,6 +33,7 @@ def main() -> None:
         start = time.perf_counter()
         fn()
         times[name] = round(time.perf_counter() - start, 3)
+        print(f"{name} {times[name]}", file=sys.stderr, flush=True)
 
     def compute(name: str) -> None:
         QUERIES[name](spark, data).write.format("noop").mode("overwrite").save()

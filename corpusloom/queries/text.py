@@ -12,6 +12,7 @@ from ..operators import audit, terms
 from ..operators.corpus import drop_blank
 from ..plans.config import Config
 from ..plans.preprocess import preprocess
+from ..session import widen
 from . import sql
 from .base import (document_postings, documents, labelled, labelled_postings, query, shared, table)
 
@@ -21,7 +22,7 @@ DEFAULT_STOP = sql.word_list(stopwords("default"))
 
 @query("clean_text", f"SELECT doc_id, {sql.clean('text')} AS clean_text FROM documents")
 def clean_text(spark: SparkSession, data: str) -> DataFrame:
-    return table(spark, data, "documents").select("doc_id", tx.clean_text(F.col("text")).alias("clean_text"))
+    return widen(table(spark, data, "documents").select("doc_id", "text")).select("doc_id", tx.clean_text(F.col("text")).alias("clean_text"))
 
 
 @query("html_unescape", f"SELECT page_id, {sql.unescape('html')} AS decoded FROM pages")
@@ -135,7 +136,7 @@ def _audit_sql(src: str) -> str:
 
 
 def _audit(spark: SparkSession, data: str) -> DataFrame:
-    return audit.noise_audit(table(spark, data, "pages"), "html", ["page_id"])
+    return audit.noise_audit(widen(table(spark, data, "pages").select("page_id", "html")), "html", ["page_id"])
 
 
 @query("noise_audit", f"WITH {_audit_sql('pages')} SELECT * FROM audit")

@@ -72,3 +72,13 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys)
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Evens out an input that arrives in fewer parts than there are cores.
+
+    A small file is one part whatever its cost per row; large inputs already
+    split into many and pass through unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
