@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import rules, simhash
-from .common import table
+from . import pieces, rules, simhash, tokencount, tokenfile
+from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +28,23 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files go to a new folder in the shared folder, then are read back."""
+    path = shared_path(spark, "tokens")
+    tokenfile.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return tokenfile.digest(tokenfile.read_back(spark, path))
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts from an empty cache in the shared folder."""
+    cache = shared_path(spark, "token-counts")
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), cache)
