@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, pii, rules, simhash, tokencount, tokenfile
+from . import contamination, pieces, pii, quality, rules, sentences, simhash, tokencount, tokenfile
 from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,18 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache in the shared folder."""
     cache = shared_path(spark, "token-counts")
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), cache)
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.flag(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.drop_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
