@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import contamination, pieces, pii, quality, rules, sentences, simhash, tokencount, tokenfile
+from . import contamination, pieces, pii, quality, rules, sentences, simhash, suffix, tokencount, tokenfile
 from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.drop_repeats(table(spark, sf_dir, "documents"))
