@@ -10,6 +10,7 @@ The table of ranks is stored next to them.
 from __future__ import annotations
 
 import json
+import os
 import pathlib
 import re
 import zlib
@@ -61,6 +62,7 @@ def unpack(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
 
 def encoder(path: str):
     """A function from a text to its ids (little-endian, 32 bits), as the file's library gives them."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task a core; threads would hold memory
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
