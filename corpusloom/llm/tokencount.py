@@ -8,6 +8,8 @@ distinct texts without an entry are encoded, and their counts are appended.
 from __future__ import annotations
 
 import hashlib
+import json
+import os
 import pathlib
 import re
 from collections.abc import Iterator
@@ -36,8 +38,7 @@ def counter(path: str):
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         return lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
-    import json
-
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task a core; threads would hold memory
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
@@ -53,7 +54,7 @@ def counter(path: str):
     if not plain:
         return whole
     special = [t["content"] for t in spec["added_tokens"]]
-    memo = Memo(lambda new: [len(e.ids) for e in tok.encode_batch_fast(new, add_special_tokens=False)])
+    memo = Memo(lambda new: [len(e.ids) for e in tok.encode_batch_fast(new, add_special_tokens=False)], 250_000)
 
     def cut(texts: list[str]) -> list[int]:
         out = []
