@@ -7,6 +7,7 @@ against the library, which encodes the same pieces batch by batch.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import re
@@ -48,7 +49,7 @@ class Codec:
         # no piece joins a line break or text before a space, so texts are cut there
         lines = "\n" if all("\n" not in p or p == "\n" for p in self.ids) else ""
         self.cut = re.compile(f"{BAR}*[^{BAR}{lines}]+|{BAR}+" + (f"|{lines}" if lines else ""))
-        self.memo = Memo(self._checked, limit=250_000)
+        self.memo = Memo(self._checked, limit=600_000)
 
     def agenda(self, text: str) -> list[int]:
         """Ids of a piece of text by merging pairs in order of score."""
@@ -102,6 +103,12 @@ class Codec:
         return b"".join(map(self.raw.__getitem__, ids)).decode(errors="replace").removeprefix(" ")
 
 
+@functools.lru_cache(maxsize=1)
+def codec(path: str) -> Codec:
+    """The model's codec, kept with its memo for the tasks that a worker runs."""
+    return Codec(path)
+
+
 def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row of ``docs``.
 
@@ -113,11 +120,11 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model)
+        found_by = codec(model)
         for batch in batches:
             counts, ids, texts = [], [], []
             for text in batch.column(1).to_pylist():
-                found = codec.pieces(text)
+                found = found_by.pieces(text)
                 counts.append(sum(n for n, _, _ in found))
                 ids.append(hashlib.sha256(",".join([i for _, i, _ in found]).encode()).hexdigest())
                 texts.append(hashlib.sha256(b"".join([b for _, _, b in found])[1:]).hexdigest())
