@@ -29,6 +29,16 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, f"[{SPACE}]+"), "")
 
 
+def sealed(df: DataFrame, *exprs: str) -> DataFrame:
+    """``df.selectExpr(*exprs)``, closed to filters from above.
+
+    The optimizer would push a filter on the result through the projections below by
+    writing their expressions out again, also inside functions of array elements,
+    where they would run once an element.  It doesn't push through a generator.
+    """
+    return df.select(F.inline(F.array(F.struct(*map(F.expr, exprs)))))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bounds what a Python worker holds at once, whatever the length of the texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

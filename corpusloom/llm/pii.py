@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import sealed, settle
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns, written so that no text makes them slow.  A
@@ -174,7 +174,7 @@ def find(docs: DataFrame, keep: list[str] | None = None, model: DataFrame | None
     prob = "1 / (1 + exp(-(coalesce(_model[x.kind], 0D) + aggregate(x.features, 0D, (a, f) -> a + coalesce(_model[concat(x.kind, '|', f)], 0D)))))"
     rank = "CASE x.kind " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(KINDS)) + " END"
     order = lambda a: f"transform(sort_array(transform({a}, x -> named_struct('o', {rank}, 's', x.s, 'e', x.e, 'kind', x.kind))), x -> named_struct('kind', x.kind, 's', x.s, 'e', x.e))"
-    return out.selectExpr(*names, *[f"n_{k}" for k in KINDS], "_t AS text", f"{order('_base')} AS base",
+    return sealed(out, *names, *[f"n_{k}" for k in KINDS], "_t AS text", f"{order('_base')} AS base",
                           f"{order(f'filter(_cand, x -> x.base OR {prob} >= {LIMIT}D AND (x.votes[1] = 2 OR x.votes[3] = 2))')} AS spans")
 
 

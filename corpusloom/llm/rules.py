@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, id_and_text, words
+from .common import SPACE, id_and_text, sealed, words
 
 #: Hash buckets of the multinomials.
 BUCKETS = 1 << 16
@@ -92,29 +92,23 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buc
     read.  An empty table gives no rows.  ``keep`` lists columns of ``docs`` to
     return (``doc_id`` by default).
     """
-    names = [f"`{c}`" for c in keep or ["doc_id"]]
-    weights = ratios(docs, trusted, buckets)
-    out = base_counts(docs, keep).withColumn("_g", grams("_w", buckets)).withColumn("_weights", weights.scalar())
+    return _judge(docs, docs, trusted, threshold, buckets, keep or ["doc_id"])
+
+
+def _judge(docs: DataFrame, corpus: DataFrame, trusted: DataFrame, threshold: float, buckets: int, keep: list[str]) -> DataFrame:
+    names = [f"`{c}`" for c in keep]
+    out = base_counts(docs, keep).withColumn("_g", grams("_w", buckets)).withColumn("_weights", ratios(corpus, trusted, buckets).scalar())
     out = out.selectExpr(
-        *names, "_n_words AS n_words", "_word_chars AS word_chars", "_n_symbols AS n_symbols",
-        "_n_dup_lines AS n_dup_lines", "_n_repeat_words AS n_repeat_words",
-        "coalesce(aggregate(_g, 0D, (a, b) -> a + _weights[b]) / nullif(size(_g), 0), 0D) AS llr")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+        *names, "_n_words", "_word_chars", "_n_symbols", "_n_dup_lines", "_n_repeat_words",
+        f"_n_words < {MIN_WORDS} OR 100 * _n_repeat_words > 50 * _n_words AS _failed",
+        "coalesce(aggregate(_g, 0D, (a, b) -> a + _weights[b]) / nullif(size(_g), 0), 0D) AS _llr")
+    return sealed(out, *names, "_n_words AS n_words", "_word_chars AS word_chars", "_n_symbols AS n_symbols", "_n_dup_lines AS n_dup_lines",
+                  "_n_repeat_words AS n_repeat_words", "_llr AS llr", "_failed AS base_failed", f"NOT _failed AND _llr >= {threshold}D AS kept")
 
 
 def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that pass, with the columns they came with."""
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     carried = plain.select(F.struct(*plain.columns).alias("row"), plain[f"c{docs.columns.index('text')}"].alias("text"))
-    weights_from = docs.select("doc_id", "text")
-    judged = _judge_rows(carried, weights_from, trusted, threshold)
+    judged = _judge(carried, docs, trusted, threshold, BUCKETS, ["row"])
     return judged.filter("kept").select("row.*").toDF(*docs.columns)
-
-
-def _judge_rows(carried: DataFrame, corpus: DataFrame, trusted: DataFrame, threshold: float) -> DataFrame:
-    weights = ratios(corpus, trusted)
-    out = base_counts(carried, ["row"]).withColumn("_g", grams("_w", BUCKETS)).withColumn("_weights", weights.scalar())
-    out = out.selectExpr("row", "_n_words", "_n_repeat_words",
-                         "coalesce(aggregate(_g, 0D, (a, b) -> a + _weights[b]) / nullif(size(_g), 0), 0D) AS llr")
-    return out.selectExpr("row", f"_n_words >= {MIN_WORDS} AND 100 * _n_repeat_words <= 50 * _n_words AND llr >= {threshold} AS kept")
