@@ -19,7 +19,7 @@ class Memo:
         """The values of each piece, text by text."""
         known, out = self.known, []
         for some in pieces:
-            new = list({p for p in some if p not in known})
+            new = list(set(some).difference(known))
             if new:
                 if len(known) + len(new) > self.limit:
                     known.clear()

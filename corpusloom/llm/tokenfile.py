@@ -9,6 +9,7 @@ The table of ranks is stored next to them.
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import pathlib
@@ -32,6 +33,8 @@ BLOCK_TOKENS = 1 << 16
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 #: Characters at which Python and the tokenizer may differ on white space.
 ODD = re.compile("[\x1c-\x1f]")
+#: Characters whose lower case may depend on more than themselves; without them texts are folded before they are cut.
+WIDE = re.compile("[^\x00-\u024f]")
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -60,8 +63,12 @@ def unpack(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
     return out.view("<u4").reshape(-1)
 
 
+@functools.lru_cache(maxsize=1)
 def encoder(path: str):
-    """A function from a text to its ids (little-endian, 32 bits), as the file's library gives them."""
+    """A function from a text to its ids (little-endian, 32 bits), as the file's library gives them.
+
+    It is kept with its memo for the tasks that a worker runs.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task a core; threads would hold memory
     from tokenizers import Tokenizer
 
@@ -78,11 +85,14 @@ def encoder(path: str):
     steps = [s.get("behavior") for s in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
     if "Removed" not in steps or "\\s" not in json.dumps(spec["pre_tokenizer"]):
         return whole
-    memo = Memo(lambda new: [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(new, add_special_tokens=False)], 500_000)
+    memo = Memo(lambda new: [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(new, add_special_tokens=False)], 1_000_000)
+    folds = any(n.get("type") == "Lowercase" for n in (spec["normalizer"] or {}).get("normalizers", []))
 
     def cut(text: str) -> bytes:
         if ODD.search(text) or any(s in text for s in special):
             return whole(text)
+        if folds and not WIDE.search(text):
+            text = text.lower()
         return b"".join(memo.values([text.split()])[0])
 
     return cut
@@ -115,11 +125,8 @@ def write(docs: DataFrame, tokenizer: str, path: str) -> None:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                seen = np.bincount(read(ids), minlength=len(total))
-                if len(seen) > len(total):
-                    total = np.pad(total, (0, len(seen) - len(total)))
-                total += seen
+            seen = np.bincount(np.concatenate([read(ids) for ids in batch.column(0).to_pylist()] or [total]), minlength=len(total))
+            total = np.pad(total, (0, len(seen) - len(total))) + seen
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["id", "n"])
 
