@@ -106,7 +106,7 @@ def _spans(docs: DataFrame, keep: list[str]) -> DataFrame:
     vote = lambda yes, no: f"CASE WHEN {yes} THEN 2 WHEN {no} THEN 0 ELSE 1 END"
     digits = _digits("x.m")
     shape = _by_kind({
-        "email": vote("x.m rlike '^[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)*[.][A-Za-z]{2,}$'", "x.m rlike '[.]{2}|^[.]'"),
+        "email": vote("x.m rlike '^[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9.-]++$' AND x.m rlike '[.][A-Za-z]{2,}$'", "x.m rlike '[.]{2}|^[.]'"),
         "ip": vote("x.m rlike '^(0|[1-9][0-9]{0,2})([.](0|[1-9][0-9]{0,2})){3}$|:.*:'", "x.m rlike '[0-9]{4}'"),
         "card": vote("x.m rlike '^([0-9]{13,16}|[0-9]{4}([ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})$'", f"length({digits}) NOT BETWEEN 13 AND 19"),
         "phone": vote("x.m rlike '^([+][0-9]{1,3}[ .-]?)?[(]?[0-9]{2,4}[)]?[ .-]?[0-9]{3}[ .-]?[0-9]{3,4}$'", "x.m rlike '[.]{2}|[ ]{2}|--'")})
