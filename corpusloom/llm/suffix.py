@@ -9,7 +9,7 @@ and leave as soon as their rank is unique:
 * by the whole stretch that its strings cover: where that repeats, all of them do;
 * what is left, anchors at the edges of a repeat, up to the full ``SPAN``: in small
   groups of equal rank by common prefixes to the left and right of the anchor, in
-  large ones string by string, as one more ranking.
+  large ones by ranking cells of neighbouring strings and then single strings.
 
 Ranks are 64-bit or 128-bit digests of content, which Spark groups and sorts.
 """
@@ -30,8 +30,8 @@ from .common import id_and_text, settle, small_batches
 SPAN, FIRST = 200, 64
 #: Places that a string's anchor is picked from, and bytes that decide on it.
 REACH, GRAM = SPAN - FIRST + 1, 8
-#: Members of a group that are compared with each other; larger groups are ranked string by string.
-CROWD = 64
+#: Members of a group that are compared with each other; larger groups are ranked on, in cells of so many strings and then one by one.
+CROWD, CELL = 64, 16
 #: Text bytes that anchors are looked for in together.
 PART = 1 << 18
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -164,9 +164,36 @@ def repeated(docs: DataFrame) -> DataFrame:
                     [_signed([d >> 64 for d in digests]), _signed([d & (1 << 64) - 1 for d in digests]), pa.array([key] * n, pa.binary()),
                      pa.array(range(first, last + 1), pa.int64()), pa.array([sole] * n)], ["one", "two", "key", "first", "sole"])
 
-    strings = parts.filter("crowd").select("key", "first", "last", "sole", "piece").mapInArrow(each, "one long, two long, key binary, first long, sole boolean")
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for m in batch.to_pylist():
+                anchor, piece = m["first"] + m["at"], m["piece"]
+                for cell in range((anchor - m["last"]) // CELL, m["at"] // CELL + 1):
+                    first, last = max(m["first"], anchor - cell * CELL - CELL + 1), min(m["last"], anchor - cell * CELL)
+                    core = m["at"] - cell * CELL  # what all strings of the cell share, held or not
+                    some = piece[first - m["first"]:last - m["first"] + SPAN]
+                    rows.append((m["h"], xxhash.xxh3_64_intdigest(piece[core:core - CELL + 1 + SPAN], cell),
+                                 xxhash.xxh3_64_intdigest(some, anchor - first), m["key"], first, last, m["sole"], some))
+            cols = list(zip(*rows, strict=True)) or [()] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), _signed(cols[1]), _signed(cols[2]), pa.array(cols[3], pa.binary()),
+                                              pa.array(cols[4], pa.int64()), pa.array(cols[5], pa.int64()), pa.array(cols[6], pa.bool_()),
+                                              pa.array(cols[7], pa.binary())], ["h", "core", "e", "key", "first", "last", "sole", "piece"])
+
+    # the same two ranks again, over cells of strings that share more
+    cells = (parts.filter("crowd").select("h", "key", "first", "last", "at", "sole", "piece")
+             .mapInArrow(split, "h long, core long, e long, key binary, first long, last long, sole boolean, piece binary"))
+    closer = settle(cells.groupBy("h", "core").agg(F.count(F.lit(1)).alias("n"), (F.min("e") != F.max("e")).alias("mixed"))
+                    .filter("n > 1").select("h", "core", "mixed"), "closer")
+    kinds = settle(cells.join(closer.filter("mixed"), ["h", "core"]).groupBy("h", "core", "e").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "first", "last", "sole", "piece")).alias("r")), "kinds")
+    alike = closer.filter("NOT mixed").select("h", "core", F.lit(None).cast("long").alias("own")).unionByName(
+        kinds.filter("n > 1").select("h", "core", F.col("e").alias("own")))
+    whole = (cells.filter("sole").drop("piece", "sole").join(alike, ["h", "core"]).filter("own IS NULL OR own = e").select("key", "first", "last"))
+    strings = (kinds.select("r.key", "r.first", "r.last", (F.col("r.sole") & (F.col("n") == 1)).alias("sole"), "r.piece")
+               .mapInArrow(each, "one long, two long, key binary, first long, sole boolean"))
     again = strings.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("one", "two")
-    many = strings.filter("sole").join(again, ["one", "two"]).select("key", "first", F.col("first").alias("last"))
+    many = whole.unionByName(strings.filter("sole").join(again, ["one", "two"]).select("key", "first", F.col("first").alias("last")))
     return sure.unionByName(few).unionByName(many).distinct()
 
 
