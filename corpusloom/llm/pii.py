@@ -29,12 +29,13 @@ BASE = {
 }
 #: What a text must hold for a pattern to be tried.
 GUARD = {"email": "contains(_t, '@')", "ip": "_digits", "card": "_digits", "phone": "_digits AND contains(_t, '+')"}
-#: Looser forms: spelled-out addresses, eight groups of hexadecimals, grouped ten-digit numbers.
+#: Looser forms: spelled-out addresses, eight groups of hexadecimals, numbers in groups with or without a country.
 LOOSE = {
     "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++[\\x20]?[(\\[{]at[)\\]}][\\x20]?[A-Za-z0-9-]++"
               r"(?:[\\x20]?(?:\\.|[(\\[{]dot[)\\]}])[\\x20]?[A-Za-z0-9-]++)++", "_t rlike '[(\\\\[{]at[)\\\\]}]'"),
     "ip": (r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Za-z:])", "_digits AND contains(_t, ':')"),
-    "phone": (r"(?<![0-9+.A-Za-z])(?:\\([0-9]{3}\\)[\\x20]?|[0-9]{3}[\\x20.-])[0-9]{3}[\\x20.-][0-9]{4}(?![0-9])", "_digits"),
+    "phone": (r"\\+[0-9]{1,3}[\\x20.-]?(?:\\([0-9]{2,4}\\)|[0-9]{2,4})[\\x20.-]?[0-9]{3}[\\x20.-]?[0-9]{3,4}(?![0-9])|"
+              r"(?<![0-9+.A-Za-z])(?:\\([0-9]{3}\\)[\\x20]?|[0-9]{3}[\\x20.-])[0-9]{3}[\\x20.-][0-9]{4}(?![0-9])", "_digits"),
 }
 #: Gazetteers: top-level domains, country calling codes, first digits of cards.
 DOMAINS = "com|org|net|edu|gov|io|info|biz|de|fr|es|uk|eu|us|it|nl|ch|at"
