@@ -7,12 +7,13 @@ kept as plain text in their natural order.
 from __future__ import annotations
 
 # --- fixed values: Roman-Urdu word pairs -----------------------------------
-ROMAN_URDU = dict(pair.split(":") for pair in """
-hai:is hain:are nahi:not ka:of ke:that ko:to ye:this woh:that aur:and tum:you
-hum:we mera:my meri:my kya:what kyun:why jab:when liye:for abhi:now bahut:very
-bohot:very acha:good achha:good bura:bad sb:all sabka:everyone sach:truth
-jhoot:false sab:all
-""".split())
+ROMAN_URDU = {
+    "hai": "is", "hain": "are", "nahi": "not", "ka": "of", "ke": "that", "ko": "to", "ye": "this",
+    "woh": "that", "aur": "and", "tum": "you", "hum": "we", "mera": "my", "meri": "my", "kya": "what",
+    "kyun": "why", "jab": "when", "liye": "for", "abhi": "now", "bahut": "very", "bohot": "very",
+    "acha": "good", "achha": "good", "bura": "bad", "sb": "all", "sabka": "everyone", "sach": "truth",
+    "jhoot": "false", "sab": "all",
+}
 
 # --- fixed values: English stopwords (179 words) ---------------------------
 ENGLISH_STOPWORDS = """

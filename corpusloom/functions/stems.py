@@ -98,11 +98,11 @@ def letter_classes(word: Column) -> Column:
     ``y`` counts as a vowel after a consonant only.
     """
     marked = F.translate(F.regexp_replace(word, "[^aeiouy]", "c"), "aeiou", "vvvvv")
-    settled = F.regexp_replace(marked, "^y", "c")
-    for _ in range(2):
-        settled = F.regexp_replace(settled, "cy", "cv")
-        settled = F.regexp_replace(settled, "vy", "vc")
-    return F.when(marked.contains("y"), settled).otherwise(marked)
+    single = F.regexp_replace(F.regexp_replace(F.regexp_replace(marked, "^y", "c"), "cy", "cv"), "vy", "vc")
+    # in a run of y each one depends on the one before it, so runs take one pass over the letters
+    run = F.aggregate(F.split(marked, ""), F.lit(""), lambda done, x: F.concat(
+        done, F.when(x != "y", x).when(done.endswith("c"), "v").otherwise("c")))
+    return F.when(marked.contains("yy"), run).when(marked.contains("y"), single).otherwise(marked)
 
 
 def _m_positive(classes: Column) -> Column:

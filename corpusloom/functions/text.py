@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from html.entities import html5, name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,7 +30,9 @@ EMOJI = "[" + "".join(
     rf"\x{{{lo:x}}}" if lo == hi else rf"\x{{{lo:x}}}-\x{{{hi:x}}}" for lo, hi in EMOJI_RANGES
 ) + "]"
 
-ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+#: Names that count without their semicolon, longest first: the longest prefix of a run of letters wins.
+BARE_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+ENTITY = rf"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*;|(?:{'|'.join(BARE_NAMES)}))"
 
 
 def strip(col: Column) -> Column:
@@ -42,11 +44,9 @@ def is_blank(col: Column) -> Column:
     return ~col.rlike(rf"[^{SPACES}]")
 
 
-#: The HTML 4 names plus every name of an ASCII character: a small literal,
-#: because it travels in each plan that cleans text.
-NAMED_ENTITIES = {
-    f"&{name}": value for name, value in html5.items()
-    if name.endswith(";") and (name[:-1] in name2codepoint or value.isascii())}
+NAMED_ENTITIES = {f"&{name}": value for name, value in html5.items()}
+#: What numbers 128 to 159 stand for: the Windows code page, where it has a character.
+WINDOWS = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -67,19 +67,29 @@ def html_unescape(col: Column) -> Column:
     """
     named = F.from_json(F.lit(json.dumps(NAMED_ENTITIES)), "map<string,string>")
 
+    windows = F.create_map(*[F.lit(x) for n, c in WINDOWS.items() for x in (n, c)])
+
     def from_code_point(code: Column) -> Column:
         valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        safe = F.when(valid, code).otherwise(F.lit(0xFFFD))
-        return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+        dropped = (code.between(1, 8) | (code == 0xB) | code.between(0xE, 0x1F) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF)
+                   | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
+        safe = F.when(F.coalesce(valid, F.lit(False)), code).otherwise(F.lit(0xFFFD))
+        return (F.when(code.between(0x80, 0x9F), windows[code.cast("int")]).when(valid & dropped, "")
+                .otherwise(F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")))
+
+    def by_name(piece: Column) -> Column:
+        bare = F.regexp_extract(piece, rf"^&(?:{'|'.join(BARE_NAMES)})", 0)
+        prefix = F.when(bare != "", F.concat(F.element_at(named, bare), F.substring(piece, F.length(bare) + 1, F.length(piece))))
+        return F.coalesce(F.element_at(named, piece), prefix, piece)
 
     def decode(piece: Column) -> Column:
-        hexa = F.conv(F.regexp_extract(piece, r"^&#[xX]([0-9a-fA-F]+);$", 1), 16, 10)
-        deci = F.regexp_extract(piece, r"^&#([0-9]+);$", 1)
+        hexa = F.conv(F.regexp_extract(piece, r"^&#[xX]0*([0-9a-fA-F]*);?$", 1), 16, 10)
+        deci = F.regexp_extract(piece, r"^&#([0-9]+);?$", 1)
         return (
             F.when(~piece.rlike(rf"^{ENTITY}$"), piece)
-            .when(piece.rlike("^&#[xX]"), from_code_point(hexa.try_cast("bigint")))
+            .when(piece.rlike("^&#[xX]"), from_code_point(F.coalesce(hexa, F.lit("0")).try_cast("bigint")))
             .when(piece.rlike("^&#"), from_code_point(deci.try_cast("bigint")))
-            .otherwise(F.coalesce(F.element_at(named, piece), piece))
+            .otherwise(by_name(piece))
         )
 
     def whole(text: Column) -> Column:

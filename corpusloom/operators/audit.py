@@ -131,15 +131,17 @@ def lemmas(vocab: DataFrame, lexicon: DataFrame) -> DataFrame:
     lexicon lists it; the shortest candidate wins, else the term stays.
     Distinct terms on both sides, so the join has no hot key.
     """
-    exceptions = F.create_map(*[F.lit(x) for p in NOUN_EXCEPTIONS.items() for x in p])
+    irregular = F.create_map(*[F.lit(x) for p in NOUN_EXCEPTIONS.items() for x in p])
     term = F.col("term")
     options = [F.when(term.endswith(a) & (F.char_length(term) > len(a)),
                       F.concat(F.left(term, F.char_length(term) - len(a)), F.lit(b)))
                for a, b in NOUN_ENDINGS]
-    candidates = F.array_compact(F.array(term, *options))
-    exploded = vocab.select("term", F.explode(candidates).alias("candidate"))
+    exploded = (vocab.select("term", F.explode(F.array_union(
+        F.array(F.struct(F.lit(0).alias("order"), irregular[term].alias("candidate"))),
+        F.transform(F.array(term, *options), lambda c: F.struct(F.lit(1).alias("order"), c.alias("candidate"))))).alias("c"))
+        .select("term", "c.*").filter("candidate IS NOT NULL"))
     listed = lexicon.select(F.col("term").alias("candidate")).distinct()
     best = (exploded.join(listed, "candidate", "left_semi").groupBy("term")
-            .agg(F.min(F.struct(F.char_length("candidate").alias("n"), "candidate")).alias("best")))
+            .agg(F.min(F.struct("order", F.char_length("candidate").alias("n"), "candidate")).alias("best")))
     return vocab.select("term").join(best, "term", "left").select(
-        "term", F.coalesce(exceptions[F.col("term")], F.col("best.candidate"), F.col("term")).alias("lemma"))
+        "term", F.coalesce("best.candidate", "term").alias("lemma"))

@@ -25,7 +25,7 @@ def balanced_weights(train: DataFrame) -> DataFrame:
 
 def fit_logistic(train: DataFrame, penalty: str = "l2", balanced: bool = False, c: float = 1.0,
                  features: str = "features", labels: Sequence[str] = LABELS,
-                 max_iter: int = 100, tol: float = 1e-6) -> LogisticRegressionModel:
+                 max_iter: int = 1000, tol: float = 1e-6) -> LogisticRegressionModel:
     """Logistic regression with inverse penalty strength ``c``.
 
     Spark minimises mean loss + regParam * penalty, so regParam = 1 / (c * n).

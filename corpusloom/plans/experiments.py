@@ -15,7 +15,7 @@ from ..operators import bayes, linear, metrics, projection, terms
 from ..operators.corpus import combine
 from ..operators.vectors import apply_stages, fit_vectoriser
 from ..session import settle
-from .config import Config
+from .config import Setup
 from .preprocess import preprocess
 
 FAMILIES = ("naive_bayes", "logistic_regression", "polynomial_lr")
@@ -30,22 +30,22 @@ class Corpus:
     cleaned: str | None = None
     _tables: dict[tuple, tuple[DataFrame, DataFrame]] = field(default_factory=dict)
 
-    def tables(self, config: Config) -> tuple[DataFrame, DataFrame]:
+    def tables(self, setup: Setup) -> tuple[DataFrame, DataFrame]:
         """``(doc_id, label, part, tokens)`` and its train/test postings."""
-        if config.token_key not in self._tables:
-            done = preprocess(self.docs, config, text=self.text, cleaned=self.cleaned)
+        if setup.tokens not in self._tables:
+            done = preprocess(self.docs, setup, text=self.text, cleaned=self.cleaned)
             toks = settle(done.select("doc_id", "label", "part",
                                       tokenize(F.col("processed_text"), "word").alias("tokens")))
             post = settle(terms.postings(toks, keep=["label", "part"]))
-            self._tables[config.token_key] = (toks, post)
-        return self._tables[config.token_key]
+            self._tables[setup.tokens] = (toks, post)
+        return self._tables[setup.tokens]
 
 
 @dataclass
 class Fitted:
     """What evaluation and serving need from a fitted configuration."""
 
-    config: Config
+    setup: Setup
     predictions: DataFrame  # doc_id, label, prediction, score
     pipeline: PipelineModel | None = None
     names: list[str] = field(default_factory=list)
@@ -53,78 +53,78 @@ class Fitted:
     explained_variance: list[float] = field(default_factory=list)
 
 
-def build_pipeline(config: Config, toks: DataFrame, post: DataFrame) -> tuple[PipelineModel, list[str]]:
+def build_pipeline(setup: Setup, toks: DataFrame, post: DataFrame) -> tuple[PipelineModel, list[str]]:
     """Vectoriser and classifier as one Spark ML pipeline over ``tokens``.
 
     Only logistic regression is a plain pipeline; Naive Bayes is a term table.
     """
-    if config.model_family != "logistic_regression":
-        raise ValueError(f"unsupported pipeline family: {config.model_family}")
+    if setup.model.family != "logistic_regression":
+        raise ValueError(f"unsupported pipeline family: {setup.model.family}")
     train, train_post = toks.filter(F.col("part") == "train"), post.filter(F.col("part") == "train")
-    stages, names = fit_vectoriser(train_post, train, config.max_features, config.vectorizer_type,
-                                   config.smooth_idf, config.sublinear_tf)
+    stages, names = fit_vectoriser(train_post, train, setup.features.most, setup.features.weigh,
+                                   setup.features.smooth, setup.features.damped)
     rows = apply_stages(train, stages, ["doc_id", "label", "features"]).persist()
-    model = linear.fit_logistic(rows, config.model_variant, balanced=True)
+    model = linear.fit_logistic(rows, setup.model.variant, balanced=True)
     rows.unpersist()
     return PipelineModel([*stages, model]), names
 
 
-def fit(config: Config, corpus: Corpus, labels: Sequence[str] = LABELS) -> Fitted:
+def fit(setup: Setup, corpus: Corpus, labels: Sequence[str] = LABELS) -> Fitted:
     """Trains on part ``train`` and predicts part ``test``."""
-    if config.model_family not in FAMILIES:
-        raise ValueError(f"unsupported model family: {config.model_family}")
-    toks, post = corpus.tables(config)
+    if setup.model.family not in FAMILIES:
+        raise ValueError(f"unsupported model family: {setup.model.family}")
+    toks, post = corpus.tables(setup)
     train, test = (toks.filter(F.col("part") == p) for p in ("train", "test"))
-    if config.model_family == "naive_bayes":
-        return Fitted(config, _bayes(config, post, train, test))
-    if config.model_family == "polynomial_lr":
-        return _polynomial(config, post, train, test)
-    pipeline, names = build_pipeline(config, toks, post)
+    if setup.model.family == "naive_bayes":
+        return Fitted(setup, _bayes(setup, post, train, test))
+    if setup.model.family == "polynomial_lr":
+        return _polynomial(setup, post, train, test)
+    pipeline, names = build_pipeline(setup, toks, post)
     features = apply_stages(test, pipeline.stages[:-1], ["doc_id", "label", "features"])
     predicted = linear.predict(pipeline.stages[-1], features, ["doc_id", "label"], labels)
-    return Fitted(config, predicted, pipeline, names)
+    return Fitted(setup, predicted, pipeline, names)
 
 
-def _bayes(config: Config, post: DataFrame, train: DataFrame, test: DataFrame) -> DataFrame:
-    alpha = 0.1 if config.model_variant == "alpha_0.1" else 1.0
+def _bayes(setup: Setup, post: DataFrame, train: DataFrame, test: DataFrame) -> DataFrame:
+    alpha = 0.1 if setup.model.variant == "alpha_0.1" else 1.0
     train_post, test_post = (post.filter(F.col("part") == p) for p in ("train", "test"))
-    vocab = terms.vocabulary(train_post, config.max_features)
-    if config.vectorizer_type == "bow":
+    vocab = terms.vocabulary(train_post, setup.features.most)
+    if setup.features.weigh == "bow":
         rows, asked, value = train_post, test_post, "tf"
     else:
-        weights = terms.idf(vocab, train, config.smooth_idf)
-        rows, asked = (terms.weigh(p, weights, config.sublinear_tf) for p in (train_post, test_post))
+        weights = terms.idf(vocab, train, setup.features.smooth)
+        rows, asked = (terms.weigh(p, weights, setup.features.damped) for p in (train_post, test_post))
         value = "weight"
     model = bayes.fit(rows, vocab, (alpha,), value=value)
     scored = bayes.probabilities(bayes.score(test, asked, model, train, (alpha,), value=value, keep=["label"]))
     return scored.select("doc_id", "label", "prediction", F.col(f"p_{LABELS[1]}").alias("score"))
 
 
-def _polynomial(config: Config, post: DataFrame, train: DataFrame, test: DataFrame) -> Fitted:
-    stages, names = fit_vectoriser(post.filter(F.col("part") == "train"), train, config.max_features)
+def _polynomial(setup: Setup, post: DataFrame, train: DataFrame, test: DataFrame) -> Fitted:
+    stages, names = fit_vectoriser(post.filter(F.col("part") == "train"), train, setup.features.most)
     sides = [apply_stages(side, stages, ["doc_id", "label", "features"]) for side in (train, test)]
     pca = projection.fit_pca(sides[0], len(names))
-    wide = [projection.expand(pca.project(side, ["doc_id", "label"]), config.degree) for side in sides]
+    wide = [projection.expand(pca.project(side, ["doc_id", "label"]), setup.model.degree) for side in sides]
     rows = wide[0].select("doc_id", "label", "features").persist()
     model = linear.fit_logistic(rows)
     on_train, on_test = (linear.predict(model, w, ["doc_id", "label"]) for w in (rows, wide[1]))
-    return Fitted(config, on_test, None, names, on_train, pca.explained_variance_ratio)
+    return Fitted(setup, on_test, None, names, on_train, pca.explained_variance_ratio)
 
 
 def summarise(fitted: Fitted) -> DataFrame:
     """One row: metrics of a fitted configuration."""
-    config = fitted.config
+    setup = fitted.setup
     predicted = settle(fitted.predictions.select("doc_id", "label", "prediction", "score"))
     scores = metrics.evaluate(predicted)
     area = metrics.auc(metrics.roc_points(predicted)).withColumnRenamed("auc", "roc_auc")
     return terms.attach(scores, area).select(
-        F.lit(config.name).alias("name"), F.lit(config.model_family).alias("family"),
-        F.lit(config.model_variant).alias("variant"), F.lit(config.vectorizer_type).alias("vectorizer"),
-        F.lit(config.stopword_list).alias("stopword_list"), F.lit(config.normalization).alias("normalization"),
-        F.lit(config.min_token_length).alias("min_token_length"), F.lit(config.max_features).alias("max_features"),
+        F.lit(setup.name).alias("name"), F.lit(setup.model.family).alias("family"),
+        F.lit(setup.model.variant).alias("variant"), F.lit(setup.features.weigh).alias("vectorizer"),
+        F.lit(setup.tokens.stop).alias("stopword_list"), F.lit(setup.tokens.reduce).alias("normalization"),
+        F.lit(setup.tokens.shortest).alias("min_token_length"), F.lit(setup.features.most).alias("max_features"),
         F.col("f1").alias("weighted_f1"), "accuracy", "roc_auc")
 
 
-def run_group(configs: Sequence[Config], corpus: Corpus) -> DataFrame:
+def run_group(setups: Sequence[Setup], corpus: Corpus) -> DataFrame:
     """Metric rows of every configuration, in order (``run_order``)."""
-    return combine([summarise(fit(c, corpus)).withColumn("run_order", F.lit(i)) for i, c in enumerate(configs)])
+    return combine([summarise(fit(c, corpus)).withColumn("run_order", F.lit(i)) for i, c in enumerate(setups)])

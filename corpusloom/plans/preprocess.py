@@ -9,7 +9,7 @@ from ..functions import tokens as tk
 from ..functions.stems import stem_array
 from ..functions.text import clean_text
 from ..operators.audit import lemmas
-from .config import Config
+from .config import Setup
 
 
 def lemmatise_array(df: DataFrame, tokens: str, key: str, lemma_map: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def lemmatise_array(df: DataFrame, tokens: str, key: str, lemma_map: DataFrame)
         tokens, F.when(F.col("_map").isNull(), F.col(tokens)).otherwise(swapped)).drop("_map")
 
 
-def preprocess(df: DataFrame, config: Config, text: str = "text", key: str = "doc_id",
+def preprocess(df: DataFrame, setup: Setup, text: str = "text", key: str = "doc_id",
                cleaned: str | None = None, lexicon: DataFrame | None = None) -> DataFrame:
     """Adds ``processed_text``, ``tokens`` and ``removed_stopwords``.
 
@@ -37,16 +37,16 @@ def preprocess(df: DataFrame, config: Config, text: str = "text", key: str = "do
     the corpus itself serve as lexicon.
     """
     clean: Column = F.col(cleaned) if cleaned else clean_text(F.col(text))
-    base = df.withColumn("_clean", clean).withColumn("_all", tk.tokenize(F.col("_clean"), config.tokenizer))
-    work = base.withColumn("removed_stopwords", tk.removed_stopwords(F.col("_all"), config.stopword_list))
-    work = work.withColumn("tokens", tk.remove_stopwords(F.col("_all"), config.stopword_list)).drop("_all")
-    if config.normalization in ("porter", "snowball"):
-        work = work.withColumn("tokens", stem_array(F.col("tokens"), config.normalization))
-    elif config.normalization == "lemmatizer":
+    base = df.withColumn("_clean", clean).withColumn("_all", tk.tokenize(F.col("_clean"), setup.tokens.split))
+    work = base.withColumn("removed_stopwords", tk.removed_stopwords(F.col("_all"), setup.tokens.stop))
+    work = work.withColumn("tokens", tk.remove_stopwords(F.col("_all"), setup.tokens.stop)).drop("_all")
+    if setup.tokens.reduce in ("porter", "snowball"):
+        work = work.withColumn("tokens", stem_array(F.col("tokens"), setup.tokens.reduce))
+    elif setup.tokens.reduce == "lemmatizer":
         vocab = work.select(F.explode("tokens").alias("term")).distinct()
         work = lemmatise_array(work, "tokens", key, lemmas(vocab, lexicon if lexicon is not None else vocab))
-    elif config.normalization != "none":
-        raise ValueError(f"unknown normalization: {config.normalization}")
-    kept = tk.keep_long(F.col("tokens"), config.min_token_length)
+    elif setup.tokens.reduce != "none":
+        raise ValueError(f"unknown normalization: {setup.tokens.reduce}")
+    kept = tk.keep_long(F.col("tokens"), setup.tokens.shortest)
     work = work.withColumn("tokens", tk.or_fallback(kept, F.col("_clean"))).drop("_clean")
     return work.withColumn("processed_text", F.array_join("tokens", " "))

@@ -13,7 +13,7 @@ from ..operators import langmodel as lm
 from ..operators.corpus import combine
 from ..operators.vectors import apply_stages, fit_vectoriser
 from ..plans import experiments as ex
-from ..plans.config import FEATURE_GROUP, MODEL_GROUP, PREPROCESSING_GROUP, Config
+from ..plans.config import FEATURE_GROUP, MODEL_GROUP, PREPROCESSING_GROUP, Features, Setup, Tokens
 from ..session import settle
 from . import sql
 from .base import labelled, labelled_postings, labelled_split, query, shared, table
@@ -230,7 +230,7 @@ _corpora: dict[tuple[str, str], ex.Corpus] = {}
 
 @query("evaluate_config")
 def evaluate_config(spark: SparkSession, data: str) -> DataFrame:
-    fitted = ex.fit(Config("porter_l2", stopword_list="custom", normalization="porter", min_token_length=2),
+    fitted = ex.fit(Setup("porter_l2", Tokens("custom", "porter", 2)),
                     _corpus(spark, data))
     return ex.summarise(fitted)
 
@@ -257,7 +257,7 @@ def compare_models(spark: SparkSession, data: str) -> DataFrame:
 @query("stopword_effect")
 def stopword_effect(spark: SparkSession, data: str) -> DataFrame:
     corpus = _corpus(spark, data)
-    lists = [Config(f"{name}_stopwords", stopword_list=name, max_features=20000) for name in ("default", "custom")]
+    lists = [Setup(f"{name}_stopwords", Tokens(name), Features(most=20000)) for name in ("default", "custom")]
     return ex.run_group(lists, corpus)
 
 

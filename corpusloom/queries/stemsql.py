@@ -31,10 +31,9 @@ _CV0 = "translate(regexp_replace(w, '[^aeiouy]', 'c', 'g'), 'aeiou', 'vvvvv')"
 
 
 def _cv() -> str:
-    step = f"regexp_replace({_CV0}, '^y', 'c')"
-    for _ in range(2):
-        step = f"regexp_replace(regexp_replace({step}, 'cy', 'cv', 'g'), 'vy', 'vc', 'g')"
-    return step
+    """Letter by letter: a y is a vowel if what stands before it is a consonant."""
+    return (f"list_reduce(list_prepend('', string_split({_CV0}, '')), lambda a, x: a || CASE WHEN x <> 'y' THEN x "
+            "WHEN right(a, 1) = 'c' THEN 'v' ELSE 'c' END)")
 
 
 def _stem_cv(n: int) -> str:
@@ -153,12 +152,11 @@ def snowball(source: str, name: str) -> str:
 
 
 def lemmas(source: str, name: str) -> str:
-    options = ["SELECT term, term AS c FROM " + source] + [
-        f"SELECT term, substr(term, 1, length(term) - {len(a)}) || {q(b)} FROM {source} "
-        f"WHERE suffix(term, {q(a)}) AND length(term) > {len(a)}" for a, b in NOUN_ENDINGS]
     exceptions = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in NOUN_EXCEPTIONS.items())
+    options = [f"SELECT term, term AS c, 1 AS o FROM {source}", f"SELECT term, CASE term {exceptions} END, 0 FROM {source}"] + [
+        f"SELECT term, substr(term, 1, length(term) - {len(a)}) || {q(b)}, 1 FROM {source} "
+        f"WHERE suffix(term, {q(a)}) AND length(term) > {len(a)}" for a, b in NOUN_ENDINGS]
     return f"""{name}_c AS ({" UNION ALL ".join(options)}),
-{name}_b AS (SELECT term, c, row_number() OVER (PARTITION BY term ORDER BY length(c), c) AS rn
+{name}_b AS (SELECT term, c, row_number() OVER (PARTITION BY term ORDER BY o, length(c), c) AS rn
   FROM {name}_c WHERE c IN (SELECT term FROM {source})),
-{name} AS (SELECT v.term, coalesce(CASE v.term {exceptions} END, b.c, v.term) AS lemma
-  FROM {source} v LEFT JOIN {name}_b b ON b.term = v.term AND b.rn = 1)"""
+{name} AS (SELECT v.term, coalesce(b.c, v.term) AS lemma FROM {source} v LEFT JOIN {name}_b b ON b.term = v.term AND b.rn = 1)"""

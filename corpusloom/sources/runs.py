@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import posixpath
 from collections.abc import Mapping
+from dataclasses import asdict
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import safe_float
 from ..operators import registry
-from ..plans.config import SERVING, Config
+from ..plans.config import SERVING, Setup
 from ..schemas import MODEL_VERSIONS, RUNS
 from .files import exists
 
@@ -21,22 +22,16 @@ def slug(name) -> str:
     return name.lower().translate(str.maketrans("/ ", "__"))
 
 
-def params_of(config: Config, sources_json: str, train_size: int, test_size: int) -> dict[str, str]:
-    import json
+def params_of(setup: Setup, sources: str, n_train: int, n_test: int) -> dict[str, str]:
+    """A run's parameters: every field of the setup's records, and what it was trained on."""
+    fields = {f"{part}.{k}": str(v) for part in ("tokens", "features", "model") for k, v in asdict(getattr(setup, part)).items()}
+    return fields | {"sources": sources, "n_train": str(n_train), "n_test": str(n_test)}
 
-    settings = {"max_features": config.max_features, "sublinear_tf": config.sublinear_tf,
-                "smooth_idf": config.smooth_idf}
-    return {"dataset_sources": sources_json, "train_size": str(train_size), "test_size": str(test_size),
-            "tokenizer": config.tokenizer, "stopword_list": config.stopword_list,
-            "normalization_method": config.normalization, "min_token_length": str(config.min_token_length),
-            "vectorizer_type": config.vectorizer_type, "vectorizer_settings": json.dumps(settings),
-            "model_type": config.model_family, "model_variant": config.model_variant}
 
-
-def append_run(spark: SparkSession, store: str, run_id: str, experiment: str, config: Config,
+def append_run(spark: SparkSession, store: str, run_id: str, experiment: str, setup: Setup,
                params: Mapping[str, str], metrics: Mapping[str, float]) -> None:
     row = spark.createDataFrame(
-        [(run_id, experiment, config.name, config.model_family, config.model_variant, dict(params), dict(metrics), None)],
+        [(run_id, experiment, setup.name, setup.model.family, setup.model.variant, dict(params), dict(metrics), None)],
         RUNS).withColumn("start_time", F.current_timestamp())
     row.write.mode("append").parquet(posixpath.join(store, "runs"))
 
@@ -84,16 +79,16 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def ensure_serving_model(spark: SparkSession, store: str, model: str, corpus, config: Config = SERVING) -> dict:
+def ensure_serving_model(spark: SparkSession, store: str, model: str, corpus, setup: Setup = SERVING) -> dict:
     """The production (else latest) version; trains and registers one if there is none."""
     if read_versions(spark, store).filter(F.col("model_name") == model).isEmpty():
         from ..plans.experiments import fit, summarise
 
-        fitted = fit(config, corpus)
+        fitted = fit(setup, corpus)
         scores = summarise(fitted).first()
         values = {m: scores[m] for m in ("weighted_f1", "accuracy", "roc_auc")}
-        run_id = f"{slug(model)}-{slug(config.name)}"
-        append_run(spark, store, run_id, "bootstrap", config, {}, values)
+        run_id = f"{slug(model)}-{slug(setup.name)}"
+        append_run(spark, store, run_id, "bootstrap", setup, {}, values)
         version = append_version(spark, store, model, run_id, values)
         save_model(fitted.pipeline, model_path(store, model, version))
     row = registry.serving_version(staged_versions(spark, store)).filter(F.col("model_name") == model).first()

@@ -11,13 +11,13 @@ from ..functions.tokens import tokenize
 from ..operators import linear
 from ..operators.corpus import reject_reason
 from ..operators.vectors import apply_stages, sparse_parts
-from ..plans.config import Config
+from ..plans.config import Setup
 from ..plans.preprocess import preprocess
 
 REQUESTS = "request_id bigint, text string"
 
 
-def score(df: DataFrame, pipeline: PipelineModel, config: Config, names: list[str] | None = None,
+def score(df: DataFrame, pipeline: PipelineModel, setup: Setup, names: list[str] | None = None,
           key: str = "request_id", top: int = 10) -> DataFrame:
     """Validate, preprocess, classify and, given ``names``, explain.
 
@@ -25,11 +25,11 @@ def score(df: DataFrame, pipeline: PipelineModel, config: Config, names: list[st
     scores.  Every step is per row, so the plan also runs on a stream.  The
     lemmatiser looks beyond the row and is therefore not available here.
     """
-    if config.normalization == "lemmatizer":
+    if setup.tokens.reduce == "lemmatizer":
         raise ValueError("row-wise scoring supports the normalisers none, porter and snowball")
     marked = df.withColumn("reject_reason", reject_reason(text=F.col("text")))
     valid = F.col("reject_reason").isNull()
-    done = preprocess(marked.withColumn("_text", F.when(valid, F.col("text")).otherwise("")), config, text="_text", key=key)
+    done = preprocess(marked.withColumn("_text", F.when(valid, F.col("text")).otherwise("")), setup, text="_text", key=key)
     toks = done.withColumn("tokens", tokenize(F.col("processed_text"), "word"))
     features = apply_stages(toks, pipeline.stages[:-1], [key, "reject_reason", "processed_text", "features"])
     model = pipeline.stages[-1]
@@ -55,9 +55,9 @@ def _explained(df: DataFrame, model, names: list[str], top: int):
 
 
 def start_scoring(spark: SparkSession, source: str, sink: str, checkpoint: str, pipeline: PipelineModel,
-                  config: Config, names: list[str] | None = None) -> StreamingQuery:
+                  setup: Setup, names: list[str] | None = None) -> StreamingQuery:
     """Scores JSON request files as they arrive in ``source``."""
     arriving = spark.readStream.schema(REQUESTS).json(source)
-    return (score(arriving, pipeline, config, names).writeStream.format("parquet")
+    return (score(arriving, pipeline, setup, names).writeStream.format("parquet")
             .option("path", sink).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

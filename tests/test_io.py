@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.tokens import tokenize
 from corpusloom.operators import corpus, ratelimit, terms
 from corpusloom.plans import experiments
-from corpusloom.plans.config import Config
+from corpusloom.plans.config import Features, Model, Setup, Tokens
 from corpusloom.sources import accesslog, files, generate, lake, runs
 from corpusloom.streaming import limiter, scoring, windows
 
@@ -160,17 +160,17 @@ def small_corpus(spark):
 
 
 def test_experiments_and_registry(spark, small_corpus, tmp_path):
-    configs = [Config("nb", model_family="naive_bayes", vectorizer_type="bow"), Config("lr", sublinear_tf=True),
-               Config("poly", model_family="polynomial_lr", degree=2)]
+    configs = [Setup("nb", features=Features("bow"), model=Model("naive_bayes")), Setup("lr", features=Features(damped=True)),
+               Setup("poly", model=Model("polynomial_lr"))]
     rows = experiments.run_group(configs, small_corpus).collect()
     assert [r.name for r in sorted(rows, key=lambda r: r.run_order)] == ["nb", "lr", "poly"]
     assert all(r.accuracy == 1.0 and r.roc_auc == 1.0 for r in rows)
     with pytest.raises(ValueError):
-        experiments.fit(Config("bad", model_family="tree"), small_corpus)
+        experiments.fit(Setup("bad", model=Model("tree")), small_corpus)
     store = str(tmp_path / "store")
-    info = runs.ensure_serving_model(spark, store, "Served/LR", small_corpus, Config("boot"))
+    info = runs.ensure_serving_model(spark, store, "Served/LR", small_corpus, Setup("boot"))
     assert info["version"] == 1 and info["stage"] == "Production"
-    assert runs.ensure_serving_model(spark, store, "Served/LR", small_corpus, Config("boot")) == info
+    assert runs.ensure_serving_model(spark, store, "Served/LR", small_corpus, Setup("boot")) == info
     assert pathlib.Path(info["model_path"]).exists()
     assert runs.load_model(info["model_path"]).stages[-1].numFeatures > 0
     assert runs.run_metrics(runs.read_runs(spark, store)).first().accuracy == 1.0
@@ -181,7 +181,7 @@ def test_experiments_and_registry(spark, small_corpus, tmp_path):
 
 
 def test_stream_scoring_equals_batch(spark, small_corpus, tmp_path):
-    config = Config("s", stopword_list="custom", normalization="porter", min_token_length=2)
+    config = Setup("s", Tokens("custom", "porter", 2))
     fitted = experiments.fit(config, small_corpus)
     requests = spark.createDataFrame([(1, "secret plan leaks today again"), (2, "short"), (3, "court confirms the budget")],
                                      scoring.REQUESTS)

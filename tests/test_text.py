@@ -8,7 +8,7 @@ from corpusloom.functions import stems, text, tokens
 from corpusloom.functions.fixed import DOMAIN_TERMS, stopwords
 from corpusloom.functions.numbers import safe_float
 from corpusloom.operators.audit import lemmas
-from corpusloom.plans.config import Config
+from corpusloom.plans.config import Setup, Tokens
 from corpusloom.plans.preprocess import preprocess
 
 
@@ -73,7 +73,7 @@ def test_lemmas(spark):
 
 def test_preprocess_fallback_and_lemmatizer(spark):
     df = spark.createDataFrame([(1, "The vaccines and the vaccine"), (2, "the"), (3, "<p></p>")], "doc_id long, text string")
-    config = Config("x", stopword_list="custom", normalization="lemmatizer", min_token_length=2)
+    config = Setup("x", Tokens("custom", "lemmatizer", 2))
     lexicon = spark.createDataFrame([("shot",), ("vaccine",)], "term string")
     rows = {r.doc_id: r for r in preprocess(df, config, lexicon=lexicon).collect()}
     assert rows[1].removed_stopwords == ["the", "and", "the", "vaccine"] and rows[1].tokens == ["vaccine"]
@@ -96,3 +96,30 @@ def test_safe_float(spark):
 def test_clean_text_is_stable_shape(spark, raw):
     out = one(spark, raw, text.clean_text)
     assert out == out.strip() and out == out.lower() and "  " not in out and "!!" not in out.replace("! !", "")
+
+
+def test_unescape_equals_the_standard_library(spark):
+    from html.entities import html5
+
+    names = [f"a&{n}b" for n in html5] + [f"&{n[:-1]} x" for n in html5 if n.endswith(";")] + [f"&{n}1" for n in html5]
+    numbers = [f"&#{i};" for i in range(300)] + [f"&#x{i:X}." for i in range(0, 300, 7)] + [
+        f"&#{i};" for i in (0xD800, 0xFDD0, 0xFFFE, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF, 0x110000, 10**9, 10**30)] + ["&#0000000065;", "&#x00000041;", "&#x0;"]
+    rows = names + numbers + ["it&#146;s &amp lt &copy 2020", "&amp;amp;", "&&&", "&nosuchname;", "&#;", "&#x;", "& &", "plain"]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, s string")
+    got = {r.i: r.t for r in df.select("i", text.html_unescape(F.col("s")).alias("t")).collect()}
+    assert [(r, got[i]) for i, r in enumerate(rows) if got[i] != html.unescape(r)] == []
+
+
+def test_runs_of_y(spark):
+    from corpusloom.functions.stems import letter_classes
+
+    words = ["heyyyyyyy", "yyyyb", "syzygy", "yes", "toy", "byyye", "y", "yy", "ayyyyyb", "sky", "plain"]
+
+    def slow(word):
+        out = ""
+        for c in word:
+            out += "v" if c in "aeiou" else "c" if c != "y" else "v" if out.endswith("c") else "c"
+        return out
+
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    assert {r.w: r.c for r in df.select("w", letter_classes(F.col("w")).alias("c")).collect()} == {w: slow(w) for w in words}
