@@ -22,6 +22,8 @@ from .common import id_and_text, small_batches
 
 #: Fixed value: the character that stands for a space.
 BAR = "▁"
+#: Characters up to which a piece's agenda is a plain list; less than any score.
+FEW, NEVER = 40, float("-inf")
 
 
 class Codec:
@@ -52,8 +54,29 @@ class Codec:
         self.memo = Memo(self._checked, limit=600_000)
 
     def agenda(self, text: str) -> list[int]:
-        """Ids of a piece of text by merging pairs in order of score."""
-        parts: list[str | None] = list(text)
+        """Ids of a piece of text by merging pairs in order of score, the leftmost of equals first."""
+        out: list[int] = []
+        for part in self._few(list(text)) if len(text) <= FEW else self._many(list(text)):
+            known = self.ids.get(part)
+            out += [known] if known is not None else [self.bytes[b] for b in part.encode()]
+        return out
+
+    def _few(self, parts: list[str]) -> list[str]:
+        """The agenda as a list of scores by place: looking through a short one beats keeping it in order."""
+        get = self.score.get
+        worth = [get(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+        while worth and (best := max(worth)) > NEVER:
+            i = worth.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del worth[i]
+            if i < len(worth):
+                worth[i] = get(parts[i] + parts[i + 1], NEVER)
+            if i:
+                worth[i - 1] = get(parts[i - 1] + parts[i], NEVER)
+        return parts
+
+    def _many(self, parts: list[str | None]) -> list[str]:
+        """The agenda as a heap, for pieces of any length."""
         before, after = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
         score, heap = self.score, []
 
@@ -75,12 +98,7 @@ class Codec:
                 offer(left, follow)
             if before[left] >= 0:
                 offer(before[left], left)
-        out: list[int] = []
-        for part in parts:
-            if part is not None:
-                known = self.ids.get(part)
-                out += [known] if known is not None else [self.bytes[b] for b in part.encode()]
-        return out
+        return [p for p in parts if p is not None]
 
     def _checked(self, new: list[str]) -> list[tuple[int, str, bytes]]:
         """Count, ids as text and decoded bytes of each piece, as the library has them too."""
