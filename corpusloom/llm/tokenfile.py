@@ -89,11 +89,11 @@ def encoder(path: str):
     folds = any(n.get("type") == "Lowercase" for n in (spec["normalizer"] or {}).get("normalizers", []))
 
     def cut(text: str) -> bytes:
-        if ODD.search(text) or any(s in text for s in special):
+        folded = text.lower() if folds and not WIDE.search(text) else text
+        # a special string that only folding makes is none to the library
+        if ODD.search(text) or any(s in text or s in folded for s in special):
             return whole(text)
-        if folds and not WIDE.search(text):
-            text = text.lower()
-        return b"".join(memo.values([text.split()])[0])
+        return b"".join(memo.values([folded.split()])[0])
 
     return cut
 

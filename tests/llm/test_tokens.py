@@ -133,3 +133,12 @@ def test_token_file(spark, hard, empty, docs, texts, word_tok, tmp_path):
 def END_OR_MOST(rows):
     ids, n = np.unique(np.concatenate([np.frombuffer(r.ids, "<u4") for r in rows]), return_counts=True)
     return ids[n == n.max()].tolist()
+
+
+SPECIALS = ["a <|ENDOFTEXT|> b", "<|EndOfText|>", "x<|StartOfText|>y", "<|endoftext|> <|ENDOFTEXT|>", "É <|ENDOFTEXT|>", "Σ <|ENDOFTEXT|> b"]
+
+
+@pytest.mark.parametrize("text", SPECIALS)
+def test_special_strings_in_upper_case(text, word_tok):
+    ids = word_tok.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(tokenfile.encoder(WORDS)(text), "<u4").tolist() == ids
