@@ -8,14 +8,14 @@ against the library, which encodes the same pieces batch by batch.
 from __future__ import annotations
 
 import functools
-import hashlib
 import heapq
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-
+from pyspark.sql import functions as F
 
 from .chunks import Memo
 from .common import id_and_text, small_batches
@@ -100,21 +100,21 @@ class Codec:
                 offer(before[left], left)
         return [p for p in parts if p is not None]
 
-    def _checked(self, new: list[str]) -> list[tuple[int, str, bytes]]:
-        """Count, ids as text and decoded bytes of each piece, as the library has them too."""
+    def _checked(self, new: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids (32 bits each) and decoded bytes of each piece, as the library has them too."""
         found = [self.agenda(p) for p in new]
         spaced = [p[1:].replace(BAR, " ") if p[0] == BAR else None for p in new]
         plain = [k for k, s in enumerate(spaced) if s is not None and s]
         for k, ids in zip(plain, self.library.encode([spaced[k] for k in plain], num_threads=1), strict=True):
             if ids != found[k]:
                 raise ValueError(f"the agenda and the library differ on {new[k]!r}")
-        return [(len(ids), ",".join(map(str, ids)), b"".join(map(self.raw.__getitem__, ids))) for ids in found]
+        return [(np.array(ids, np.int32).tobytes(), b"".join(map(self.raw.__getitem__, ids))) for ids in found]
 
-    def pieces(self, text: str) -> list[tuple[int, str, bytes]]:
+    def pieces(self, text: str) -> list[tuple[bytes, bytes]]:
         return self.memo.values([self.cut.findall(BAR + text.replace(" ", BAR))])[0] if text else []
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for _, ids, _ in self.pieces(text) for i in ids.split(",")]
+        return np.frombuffer(b"".join([ids for ids, _ in self.pieces(text)]), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; the space that encoding puts in front goes."""
@@ -127,8 +127,8 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode_documents(docs: DataFrame, model: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row of ``docs``.
+def encoded(docs: DataFrame, model: str) -> DataFrame:
+    """``doc_id, n_tokens, ids, decoded`` for every row of ``docs``: its ids and the text they decode to.
 
     ``model`` is the file's path on every machine.  Null texts are empty: no ids.
     Repeated rows and rows without id come out as they are, extra columns are not
@@ -140,15 +140,28 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found_by = codec(model)
         for batch in batches:
-            counts, ids, texts = [], [], []
+            ids, texts = [], []
             for text in batch.column(1).to_pylist():
                 found = found_by.pieces(text)
-                counts.append(sum(n for n, _, _ in found))
-                ids.append(hashlib.sha256(",".join([i for _, i, _ in found]).encode()).hexdigest())
-                texts.append(hashlib.sha256(b"".join([b for _, _, b in found])[1:]).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()),
-                                              pa.array(texts, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                ids.append(b"".join([i for i, _ in found]))
+                texts.append(b"".join([b for _, b in found])[1:])
+            counts = np.array([len(i) // 4 for i in ids], np.int64)
+            ends = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+            lists = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(ids), np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts), lists, pa.array(texts, pa.string())],
+                                             ["doc_id", "n_tokens", "ids", "decoded"])
 
     source = id_and_text(docs)
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return source.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids array<int>, decoded string")
+
+
+def digest(rows: DataFrame) -> DataFrame:
+    """``ids`` (as decimal numbers with commas) and ``decoded`` replaced by their SHA-256."""
+    return rows.select("doc_id", "n_tokens", F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def encode_documents(docs: DataFrame, model: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: what ``encoded`` gives, as digests."""
+    return digest(encoded(docs, model))

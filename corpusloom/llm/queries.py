@@ -37,7 +37,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.digest(pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
 
 
 @query
@@ -72,4 +72,4 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix.drop_repeats(table(spark, sf_dir, "documents"))
+    return suffix.digest(suffix.remaining(table(spark, sf_dir, "documents")))

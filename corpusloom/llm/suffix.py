@@ -16,7 +16,6 @@ Ranks are 64-bit or 128-bit digests of content, which Spark groups and sorts.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -202,10 +201,10 @@ def _tidy(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
-def drop_repeats(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row of ``docs``.
+def remaining(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept`` for every row of ``docs``.
 
-    Each byte goes that lies in a string of ``SPAN`` bytes which starts anywhere else
+    ``kept`` are the bytes that stay; a cut may fall inside a character.  Each byte goes that lies in a string of ``SPAN`` bytes which starts anywhere else
     too, judged on the input.  Null texts are empty; texts shorter than ``SPAN`` stay
     whole; a text that occurs twice goes whole if it is as long.  Texts are known by
     their digest, so repeated rows and rows without id are fine.  Extra columns are
@@ -236,11 +235,21 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
                     gone += end
                     at = end
                 kept.append(text[at:])
-                rows.append((len(text), gone, spans, hashlib.sha256(b"".join(kept)).hexdigest()))
+                rows.append((len(text), gone, spans, b"".join(kept)))
             cols = list(zip(*rows, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                [batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return (source.join(ranges, "key", "left").select("doc_id", "text", "ranges")
-            .mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
+            .mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary"))
+
+
+def digest(rows: DataFrame) -> DataFrame:
+    """``kept`` replaced by ``kept_sha256``."""
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def drop_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``: what ``remaining`` gives, as digests."""
+    return digest(remaining(docs))

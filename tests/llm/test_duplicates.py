@@ -118,6 +118,14 @@ def test_repeated_strings(spark, hard, empty, docs, texts, crowd, monkeypatch):
     assert suffix.drop_repeats(empty).count() == 0
 
 
+def test_remaining_bytes(spark):
+    rng = random.Random(8)
+    base, ends = ("".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (250, 90))
+    frame = spark.createDataFrame([(1, base + ends), (2, "Ä" + base), (3, ends), (4, None)], "doc_id long, text string")
+    kept = {r.doc_id: bytes(r.kept) for r in suffix.remaining(frame).collect()}
+    assert kept == {1: ends.encode(), 2: "Ä".encode(), 3: ends.encode(), 4: b""}
+
+
 def test_anchors_in_parts(monkeypatch):
     rng = random.Random(2)
     text = bytes(rng.choice(b"abcd ") for _ in range(5000))

@@ -3,6 +3,7 @@
 import hashlib
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -135,6 +136,14 @@ def END_OR_MOST(rows):
     return ids[n == n.max()].tolist()
 
 
+def test_encoded_rows_hold_ids_and_text(spark, hard, empty):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    want = [(r.doc_id, len(ids := library.encode(r.text or "")), ids, library.decode(ids)) for r in hard.collect()]
+    got = [tuple(r) for r in corpus_pipeline.encoding(spark, hard, "").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert corpus_pipeline.encoding(spark, empty, "").count() == 0
+
+
 SPECIALS = ["a <|ENDOFTEXT|> b", "<|EndOfText|>", "x<|StartOfText|>y", "<|endoftext|> <|ENDOFTEXT|>", "É <|ENDOFTEXT|>", "Σ <|ENDOFTEXT|> b"]
 
 
