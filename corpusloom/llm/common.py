@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 #: The white space that separates words.
 SPACE = r"\x20\x09-\x0D"
 
-#: Rows that go to a Python worker at once; keeps batches of very long texts small.
-BATCH_ROWS = 500
+#: Rows and bytes that go to a Python worker at once; a batch ends at the first of the two it reaches.
+BATCH_ROWS, BATCH_BYTES = 500, 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,7 @@ def sealed(df: DataFrame, *exprs: str) -> DataFrame:
 def small_batches(spark: SparkSession) -> None:
     """Bounds what a Python worker holds at once, whatever the length of the texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def shared_folder(spark: SparkSession) -> str:

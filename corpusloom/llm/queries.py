@@ -7,11 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import contamination, pieces, pii, quality, rules, sentences, simhash, suffix, tokencount, tokenfile
+from . import contamination, divergence, minhash, pieces, pii, quality, rules, sentences, simhash, spelling, sql, suffix, tokencount, tokenfile
 from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_minhash": sql.MINHASH, "op12_spelling": sql.SPELLING, "op13_divergence": sql.DIVERGENCE}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -73,3 +73,18 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digest(suffix.remaining(table(spark, sf_dir, "documents")))
+
+
+@query
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
