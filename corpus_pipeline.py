@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import common, contamination, nearcopies, pieces, pii, rules
+from corpusloom.llm import common, contamination, pieces, pii, rules, simhash
 
 #: Word statistics, fingerprints and merges have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity of 0.8) stays."""
-    return nearcopies.keep_first(docs)
+    """One document of each group of SimHash near-duplicates (three-word shingles, two bits) stays."""
+    return simhash.keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
