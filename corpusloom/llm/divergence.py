@@ -107,7 +107,7 @@ class _Finder:
         return np.fromiter(map(self.known.__getitem__, some), np.int64, len(some))
 
 
-def recount(docs: DataFrame, table: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def recount(docs: DataFrame, table: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, held: int = HELD) -> DataFrame:
     """``lang, source, slot, n``: occurrences of the terms of ``shards`` in each group, where there are any.
 
     Slots number the terms of a language, shard after shard.
@@ -131,14 +131,14 @@ def recount(docs: DataFrame, table: DataFrame, broadcast_bytes: int = BROADCAST_
         ends = [(r["lang"], r["shard"]) for r in (rows[0], rows[-1])]
         here = F.struct("lang", "shard").between(*(F.struct(F.lit(a), F.lit(b).cast("long")) for a, b in ends))
         packed = [(place[r["lang"], r["shard"]], bytes(r["hashed"])) for r in table.filter(here).select("lang", "shard", "hashed").toLocalIterator()]
-        counted = settle(source.mapInArrow(_counter(spark.sparkContext.broadcast(packed)), "lang string, source string, slot bigint, n bigint")
+        counted = settle(source.mapInArrow(_counter(spark.sparkContext.broadcast(packed), held), "lang string, source string, slot bigint, n bigint")
                          .groupBy("lang", "source", "slot").agg(F.sum("n").alias("n")), "cells")
         out = counted if out is None else out.unionByName(counted)
     return spark.createDataFrame([], "lang string, source string, slot bigint, n bigint") if out is None else out
 
 
-def _counter(shared):
-    """Counts the rows of a task into dense slots per group; holds at most ``HELD`` slots."""
+def _counter(shared, most: int):
+    """Counts the rows of a task into dense slots per group; holds ``most`` slots, or one group's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finders, dense = {}, {}
@@ -164,7 +164,7 @@ def _counter(shared):
                 finder = finders[group[0]]
                 slots = finder.slots(some)
                 if group not in dense:
-                    if sum(map(len, dense.values())) + finder.size > HELD:
+                    if sum(map(len, dense.values())) + finder.size > most:
                         yield from close()
                     dense[group] = np.zeros(finder.size, np.int64)
                 dense[group] += np.bincount(slots[slots >= 0], minlength=finder.size)
@@ -184,36 +184,40 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // q
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _comparer(width: int):
     """Pairs of sources summed over a block of slots, and the block's terms that may be among a source's first ``TOP``."""
-    for batch in batches:
-        for row in range(batch.num_rows):
-            lang, block, kept = (batch.column(c)[row].as_py() for c in (0, 1, 2))
-            sources = batch.column(3)[row].values.flatten()
-            names, totals = sources[0].to_pylist(), sources[1].to_numpy()
-            cells = batch.column(4)[row].values.flatten()
-            number = {name: i for i, name in enumerate(names)}
-            at = np.array([number[s] for s in cells[0].to_pylist()], np.int64)
-            counts = np.zeros((len(names), min(BLOCK, kept - block * BLOCK)), np.int64)
-            counts[at, cells[1].to_numpy() - block * BLOCK] = cells[2].to_numpy()
-            p = share(counts, (totals + kept)[:, None])
-            q = share(counts.sum(0), int(totals.sum()) + kept)
-            out: list[tuple] = []
-            for a, name in enumerate(names):
-                sums = distance(p[a], p).sum(1).tolist()
-                out += [(lang, name, names[b], None, sums[b]) for b in range(len(names)) if b != a]
-                over = np.flatnonzero((counts[a] > 0) & (p[a] > q))
-                value = distance(p[a][over], q[over])
-                if len(over) > TOP:
-                    stay = value >= np.partition(value, -TOP)[-TOP]
-                    over, value = over[stay], value[stay]
-                out += [(lang, name, None, slot, v) for slot, v in zip((over + block * BLOCK).tolist(), value.tolist(), strict=True)]
-            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
-            cols = list(zip(*out, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["lang", "source", "other", "slot", "value"])
-
-
-def audit(docs: DataFrame, shard_terms: int = SHARD_TERMS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                lang, block, kept = (batch.column(c)[row].as_py() for c in (0, 1, 2))
+                sources = batch.column(3)[row].values.flatten()
+                names, totals = sources[0].to_pylist(), sources[1].to_numpy()
+                cells = batch.column(4)[row].values.flatten()
+                number = {name: i for i, name in enumerate(names)}
+                at = np.array([number[s] for s in cells[0].to_pylist()], np.int64)
+                counts = np.zeros((len(names), min(width, kept - block * width)), np.int64)
+                counts[at, cells[1].to_numpy() - block * width] = cells[2].to_numpy()
+                p = share(counts, (totals + kept)[:, None])
+                q = share(counts.sum(0), int(totals.sum()) + kept)
+                out: list[tuple] = []
+                for a, name in enumerate(names):
+                    sums = distance(p[a], p).sum(1).tolist()
+                    out += [(lang, name, names[b], None, sums[b]) for b in range(len(names)) if b != a]
+                    over = np.flatnonzero((counts[a] > 0) & (p[a] > q))
+                    value = distance(p[a][over], q[over])
+                    if len(over) > TOP:
+                        stay = value >= np.partition(value, -TOP)[-TOP]
+                        over, value = over[stay], value[stay]
+                    out += [(lang, name, None, slot, v) for slot, v in zip((over + block * width).tolist(), value.tolist(), strict=True)]
+                kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
+                cols = list(zip(*out, strict=True)) or [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["lang", "source", "other", "slot", "value"])
+
+    return run
+
+
+def audit(docs: DataFrame, shard_terms: int = SHARD_TERMS, broadcast_bytes: int = BROADCAST_BYTES, block: int = BLOCK, held: int = HELD) -> DataFrame:
     """``lang, source, part, item, value, rank`` for every group of ``docs``.
 
     Null ``lang``, ``source`` and ``text`` are empty strings.  A group without terms,
@@ -223,17 +227,17 @@ def audit(docs: DataFrame, shard_terms: int = SHARD_TERMS, broadcast_bytes: int
     """
     kept = settle(frequent(docs), "terms")
     table = settle(shards(kept, shard_terms), "shards")
-    cells = recount(docs, table, broadcast_bytes)
+    cells = recount(docs, table, broadcast_bytes, held)
     groups = _rows(docs).select("lang", "source").distinct()
     sums = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     size = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"))
     totals = settle(groups.join(sums, ["lang", "source"], "left").join(size, "lang", "left").select(
         "lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("kept", F.lit(0)).alias("kept")), "totals")
     langs = totals.groupBy("lang").agg(F.first("kept").alias("kept"), F.sort_array(F.collect_list(F.struct("source", "total"))).alias("sources"))
-    blocks = (cells.withColumn("block", F.expr(f"slot div {BLOCK}")).groupBy("lang", "block")
+    blocks = (cells.withColumn("block", F.expr(f"slot div {block}")).groupBy("lang", "block")
               .agg(F.collect_list(F.struct("source", "slot", "n")).alias("cells")))
     found = settle(blocks.join(langs, "lang").select("lang", "block", "kept", "sources", "cells")
-                   .mapInArrow(_compare, "lang string, source string, other string, slot bigint, value bigint"), "compared")
+                   .mapInArrow(_comparer(block), "lang string, source string, other string, slot bigint, value bigint"), "compared")
 
     summed = found.filter("other IS NOT NULL").groupBy("lang", "source", "other").agg(F.sum("value").alias("value"))
     all_pairs = (langs.select("lang", F.explode("sources.source").alias("source"), F.col("sources.source").alias("others"))

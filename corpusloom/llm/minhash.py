@@ -10,7 +10,8 @@ miss with probability ``1 - (1 - (1 - 0.8^ROWS)^SIDE)^2``, two in 100,000.
 Every candidate is decided on the whole sets, by one streaming comparison of
 *seeds* with *members* that meet in a cell:
 
-1. in each bucket the member with the smallest node is the seed of the others;
+1. in each bucket the member with the smallest node is the seed of the others (of
+   those seeds, the ``LEADS`` that a text shares most keys with);
 2. in a bucket that those links leave apart, the members outside its largest group
    are seeds of all its members.
 
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import id_and_text, settle, small_batches
@@ -33,30 +34,17 @@ from .graph import components
 
 #: Words of a shingle, least similarity in percent, parts of a collection, minima of a part, hash seed.
 SHINGLE, PERCENT, SIDE, ROWS, SEED = 2, 80, 16, 3, 42
+#: Seeds that a text is compared with first.
+LEADS = 2
 #: Texts and shingles one side of a block holds at most on average; shingles whose minima are taken at once.
-BLOCK_ROWS, BLOCK_SHINGLES, CHUNK = 1024, 1 << 20, 1 << 12
-#: Words whose hash a worker remembers.
-REMEMBERED = 1_000_000
+BLOCK_ROWS, BLOCK_SHINGLES, CHUNK = 1024, 1 << 20, 1 << 9
 _draw = np.random.Generator(np.random.PCG64(SEED))
-TIMES = _draw.integers(0, 1 << 64, (2 * SIDE * ROWS, 1), np.uint64) | np.uint64(1)
-PLUS = _draw.integers(0, 1 << 64, (2 * SIDE * ROWS, 1), np.uint64)
+TIMES = _draw.integers(0, 1 << 32, (2 * SIDE * ROWS, 1), np.uint32) | np.uint32(1)
+PLUS = _draw.integers(0, 1 << 32, (2 * SIDE * ROWS, 1), np.uint32)
 MIX = _draw.integers(0, 1 << 64, (2 * SIDE, ROWS), np.uint64) | np.uint64(1)
 STEP, TAG = (np.uint64(v) | np.uint64(1) for v in _draw.integers(0, 1 << 64, 2, np.uint64))
 
 
-class _Hashes(dict):
-    """Hashes of words by word, forgotten when there are too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word, SEED)
-        return value
-
-
-_hashes = _Hashes()
-
-
 def _scramble(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads their bits."""
     x = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
@@ -69,9 +57,9 @@ def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
     words = text.encode().lower().split()  # bytes: only A-Z and the six ASCII spaces count
     if not words:
         return np.zeros(0, np.uint64)
-    each = np.array([_hashes[w] for w in words], np.uint64)
+    each = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     k = min(size, len(words))
-    total = np.full(len(each) - k + 1, TAG * np.uint64(k))
+    total = np.full(len(each) - k + 1, np.uint64(k)) * TAG  # tells sizes apart
     for j in range(k):
         total = total * STEP + each[j:len(each) - k + 1 + j]
     return np.unique(_scramble(total))
@@ -79,12 +67,17 @@ def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
 
 def parts(some: np.ndarray) -> np.ndarray:
     """The parts of both collections, first one then the other; a part's place is mixed into its value."""
-    least = np.min([(some[i:i + CHUNK] * TIMES + PLUS).min(1) for i in range(0, len(some), CHUNK)], axis=0).reshape(2 * SIDE, ROWS)
-    return _scramble((_scramble(least) * MIX).sum(1, dtype=np.uint64))
+    short = (some >> np.uint64(32)).astype(np.uint32)
+    least = np.min([(short[i:i + CHUNK] * TIMES + PLUS).min(1) for i in range(0, len(short), CHUNK)], axis=0).reshape(2 * SIDE, ROWS)
+    return _scramble((_scramble(least.astype(np.uint64)) * MIX).sum(1, dtype=np.uint64))
+
+
+def _digest(some: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(some.tobytes())
 
 
 def prints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``doc_id, digest, n, parts, held``: each row's shingle set with its digest, size and parts (none of an empty set)."""
+    """``doc_id, digest, n, parts``: each row's shingle set by its digest, with its size and parts (none of an empty set)."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,13 +85,32 @@ def prints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             sets = [shingles(t, size) for t in batch.column(1).to_pylist()]
             drawn = [parts(s).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                 pa.array([len(s) for s in sets], pa.int64()), pa.array(drawn, pa.list_(pa.int64())),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "digest", "n", "parts", "held"])
+                [batch.column(0), pa.array(map(_digest, sets), pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array(drawn, pa.list_(pa.int64()))], ["doc_id", "digest", "n", "parts"])
 
     source = id_and_text(docs)
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, digest binary, n bigint, parts array<bigint>, held binary")
+    return source.mapInArrow(run, f"doc_id {kind}, digest binary, n bigint, parts array<bigint>")
+
+
+def whole_sets(docs: DataFrame, nodes: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``node, n, parts, held`` for ``nodes (node, first, digest, parts)``: whole shingle sets, from the texts of their first documents.
+
+    Only texts of candidates are cut again.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for node, digest, text in zip(*(batch.column(c).to_pylist() for c in ("node", "digest", "text")), strict=True):
+                some = shingles(text, size)
+                if _digest(some) == digest:  # rows may share an id
+                    rows.append((node, some.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["node", "held"])
+
+    texts = id_and_text(docs).join(nodes.select(F.col("first").alias("doc_id"), "node", "digest"), "doc_id").select("node", "digest", "text")
+    found = texts.mapInArrow(run, "node bigint, held binary").dropDuplicates(["node"]).join(nodes.select("node", "n", "parts"), "node")
+    return settle(found.select("node", "n", "parts", "held"), "sets")
 
 
 def keys(nodes: DataFrame) -> DataFrame:
@@ -222,27 +234,27 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
     Null texts are empty.  Texts without words have no shingles and are linked with
     nothing; their component is their own id.  ``component_id`` is the smallest id
-    reachable over links; a row without id gets its component's, null if there is none,
-    and ``kept`` is then false or null.  Rows that repeat an id come out once each; with
-    different texts, each has its text's component.  Extra columns are not read; an
+    reachable over links; a row without id is linked with nothing, and its component
+    and ``kept`` are null.  Rows that repeat an id come out once each; with different
+    texts, each has its text's component.  Extra columns are not read; an
     empty table gives no rows.
     """
     found = settle(prints(docs, size), "prints")
-    nodes = settle(found.filter("n > 0").groupBy("digest").agg(
+    nodes = settle(found.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(
         F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("parts").alias("parts"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
     entries = keys(nodes)
     buckets = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lead")).filter("n > 1").select("key", "lead")
     met = settle(entries.join(buckets, "key"), "buckets")
-    wanted = met.select("node").distinct().join(nodes.select("node", "digest", "parts"), "node")
-    held = found.groupBy("digest").agg(F.min(F.struct("doc_id", "held")).alias("one")).select("digest", "one.held")
-    sets = settle(wanted.join(held, "digest").select("node", F.octet_length("held").alias("bytes"), "parts", "held"), "sets")
-    sets = sets.select("node", F.expr("bytes div 8").alias("n"), "parts", "held")
+    sets = whole_sets(docs, met.select("node").distinct().join(nodes, "node"), size)
 
-    stars = met.filter("node <> lead").select(F.col("lead").alias("cell"), "node").distinct()
-    seeds = stars.select("cell").distinct().withColumn("node", F.col("cell"))
+    # the seeds that share most keys with a node; the others' pairs are left to the second step
+    often = met.filter("node <> lead").groupBy("node", "lead").agg(F.count(F.lit(1)).alias("shared"))
+    nearest = Window.partitionBy("node").orderBy(F.desc("shared"), "lead")
+    stars = settle(often.withColumn("at", F.row_number().over(nearest)).filter(F.col("at") <= LEADS).select(F.col("lead").alias("cell"), "node"), "stars")
     plain = F.lit(-1).alias("place")
-    links = linked(seeds.select("cell", plain, "node"), stars.select("cell", plain, "node"), sets.withColumn("root", F.col("node")), percent)
+    links = linked(stars.select("cell", plain, F.col("cell").alias("node")).distinct(), stars.select("cell", plain, "node"),
+                   sets.withColumn("root", F.col("node")), percent)
     roots = components(links)
 
     placed = met.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
@@ -263,6 +275,6 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     named = nodes.select("node", "digest", "first").join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = settle(named.join(smallest, "root").select("digest", "component_id"), "named")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (found.select("doc_id", "digest", "n").join(labels, "digest", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept")))
