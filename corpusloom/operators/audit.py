@@ -11,6 +11,7 @@ from ..functions import text as tx
 from ..functions.fixed import ROMAN_URDU, stopwords
 from ..functions.numbers import ratio
 from ..functions.tokens import WORD, in_list, tokenize
+from .ordered import quantiles
 
 FLAGS = {"html_tags": tx.TAG, "urls": tx.URL, "handles": tx.HANDLE, "emojis": tx.EMOJI,
          "repeated_punctuation": tx.REPEATED_PUNCT}
@@ -41,17 +42,15 @@ def noise_audit(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles, max per column, long form.
 
-    Values are counted first; quartiles then come from the value histogram,
-    whose size is the number of distinct values, not of rows.
+    Quartiles are exact and come from a histogram and the values of three cells; no
+    state holds a column's values.
     """
     pairs = ", ".join(f"'{c}', cast({c} as double)" for c in columns)
     long = df.selectExpr(f"stack({len(columns)}, {pairs}) as (metric, value)")
-    counts = long.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
     moments = long.groupBy("metric").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    quarts = counts.groupBy("metric").agg(
-        *[F.percentile("value", p, F.col("n")).alias(a) for p, a in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
+    quarts = quantiles(long, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["metric"]).drop("n")
     both = moments.join(quarts, "metric")
     return both.select("metric", "count", *[F.round(c, 6).alias(c) for c in (
         "mean", "std", "min", "q25", "q50", "q75", "max")])

@@ -1,18 +1,19 @@
 """Classifier evaluation from a ``label, prediction[, score]`` table.
 
 Everything starts from one partial aggregation: confusion counts, or counts
-per score rounded to 6 digits (at most 10**6 + 1 rows for scores in [0, 1]).
+per distinct score, which then run as sums over parts (see ``ordered``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import LABELS
 from ..functions.numbers import ratio
+from .ordered import running_sums
 from .sampling import sample_exact
 from .terms import attach
 
@@ -42,15 +43,18 @@ def class_report(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                        ratio(2 * p * r, p + r).alias("f1"), "support", "hits")
 
 
-def weighted_metrics(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """accuracy and support-weighted precision, recall, f1."""
+def weighted_metrics(report: DataFrame, by: Sequence[str] = (), digits: int | None = 6) -> DataFrame:
+    """accuracy and support-weighted precision, recall, f1, as they are or to so many digits."""
     total = F.sum("support")
 
+    def shown(value: Column) -> Column:
+        return value if digits is None else F.round(value, digits)
+
     def weighted(name: str) -> Column:
-        return F.round(ratio(F.sum(F.col(name) * F.col("support")), total), 6).alias(name)
+        return shown(ratio(F.sum(F.col(name) * F.col("support")), total)).alias(name)
 
     return report.groupBy(*by).agg(
-        F.round(ratio(F.sum("hits"), total), 6).alias("accuracy"),
+        shown(ratio(F.sum("hits"), total)).alias("accuracy"),
         weighted("precision"), weighted("recall"), weighted("f1"), total.alias("support"))
 
 
@@ -79,29 +83,30 @@ def full_report(pred: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:
 
 
 def roc_points(scored: DataFrame, positive: str = LABELS[1], by: Sequence[str] = ()) -> DataFrame:
-    """False and true positive rates at each threshold, highest score first.
+    """One row per distinct score, highest first: rates of false and true positives from there up.
 
-    Scores are rounded to 6 digits before counting, which bounds the rows the
-    cumulative window sees.
+    Next to ``fpr`` and ``tpr`` stand the counts they come from: ``pos`` and ``neg`` at
+    the threshold, ``before_pos`` and ``before_neg`` above it.  Scores count as they are,
+    unrounded; rates are 0 where a class is missing.  Null scores are left out.
     """
     by = list(by)
     hit = (F.col("label") == positive).cast("long")
-    steps = scored.groupBy(*by, F.round("score", 6).alias("threshold")).agg(
+    steps = scored.filter("score IS NOT NULL").groupBy(*by, F.col("score").alias("threshold")).agg(
         F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg"))
-    whole = Window.partitionBy(*by)
-    down = whole.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    return steps.select(
-        *by, "threshold",
-        ratio(F.sum("neg").over(down), F.sum("neg").over(whole)).alias("fpr"),
-        ratio(F.sum("pos").over(down), F.sum("pos").over(whole)).alias("tpr"))
+    ran = running_sums(steps, ["pos", "neg"], [F.desc("threshold")], by)
+    totals = ran.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
+    both = ran.join(totals, [ran[c].eqNullSafe(totals[f"_{c}"]) for c in by]) if by else attach(ran, totals)
+    return both.select(
+        *by, "threshold", "pos", "neg", "before_pos", "before_neg",
+        ratio(F.col("before_neg") + F.col("neg"), F.col("_neg")).alias("fpr"),
+        ratio(F.col("before_pos") + F.col("pos"), F.col("_pos")).alias("tpr"))
 
 
 def auc(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Trapezoid area under the ROC points."""
-    order = Window.partitionBy(*by).orderBy(F.desc("threshold"))
-    prev_f, prev_t = F.lag("fpr", 1, 0.0).over(order), F.lag("tpr", 1, 0.0).over(order)
-    strips = points.select(*by, ((F.col("fpr") - prev_f) * (F.col("tpr") + prev_t) / 2).alias("a"))
-    return strips.groupBy(*by).agg(F.round(F.sum("a"), 6).alias("auc"))
+    """Area under the ROC points: pairs ranked right, ties half, in whole numbers up to the last division."""
+    pairs = F.sum(F.col("neg").cast("decimal(19,0)") * (2 * F.col("before_pos") + F.col("pos")).cast("decimal(19,0)"))
+    every = 2.0 * F.sum("pos") * F.sum("neg")
+    return points.groupBy(*by).agg(ratio(pairs.cast("double"), every).alias("auc"))
 
 
 def error_summary(pred: DataFrame, sample: int = 30, seed: int = 42) -> DataFrame:

@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import safe_float
+from ..session import settle
+from .terms import top_per_group
 
 #: A challenger must beat the champion by this much.
 MARGIN = 0.01
-#: Versions per block when looking for running records.
+#: Versions per block when looking for running records; records folded at a time.
 BLOCK = 10000
 
 
@@ -36,32 +38,42 @@ def records(versions: DataFrame, by: str = "model_name", order: str = "version",
 
 
 def promotions(versions: DataFrame, by: str = "model_name", order: str = "version",
-               score: str = "f1", margin: float = MARGIN) -> DataFrame:
+               score: str = "f1", margin: float = MARGIN, head: int = BLOCK) -> DataFrame:
     """Adds ``stage`` by replaying champion/challenger promotion in version order.
 
     The first version becomes Production; a later one replaces it if its score
     is at least the champion's plus ``margin``; replaced ones are Archived and
-    the rest stay in Staging.
+    the rest stay in Staging.  Scores are compared as they are.
 
     Only running records can ever be promoted (a version that does not exceed
-    an earlier score cannot exceed the champion by the margin), and scores
-    have 6 digits, so the fold sees at most 10**6 + 1 records per model however
-    many versions there are.
+    an earlier score cannot exceed the champion by the margin).  They are folded
+    ``head`` of a model at a time, so no state grows with the versions; records
+    within the margin of the new champion drop out before the next round.
     """
-    scored = versions.withColumn(score, F.round(score, 6))
-    folded = records(scored, by, order, score).groupBy(by).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(order).alias("v"), F.col(score).alias("f")))).alias("r"))
+    kind, value = dict(versions.dtypes)[order], F.col(score).cast("double")
+    left = settle(records(versions.select(by, order, value.alias(score)), by, order, score))
+    champions = versions.select(by).distinct().select(by, F.lit(None).cast(kind).alias("_v"), F.lit(float("-inf")).alias("_f"))
+    won = None
 
     def step(acc: Column, r: Column) -> Column:
-        won = F.round(r["f"] - acc["f"], 6) >= margin
-        return F.struct(F.when(won, F.concat(acc["won"], F.array(r["v"]))).otherwise(acc["won"]).alias("won"),
-                        F.when(won, r["f"]).otherwise(acc["f"]).alias("f"))
-
-    kind = dict(versions.dtypes)[order]
-    start = F.struct(F.array().cast(f"array<{kind}>").alias("won"), F.lit(float("-inf")).alias("f"))
-    won = folded.select(by, F.aggregate("r", start, step)["won"].alias("won"))
-    champions = won.select(by, F.explode("won").alias(order), F.element_at("won", -1).alias("_last"))
-    return scored.join(champions, [by, order], "left").withColumn(
+        better = r["f"] >= acc["f"] + margin
+        return F.struct(F.when(better, F.concat(acc["won"], F.array(r["v"]))).otherwise(acc["won"]).alias("won"),
+                        F.when(better, r["f"]).otherwise(acc["f"]).alias("f"), r["v"].alias("v"))
+
+    while True:
+        first = top_per_group(left.withColumn("_down", -F.col(order)), [by], "_down", [order], head, "_at")
+        taken = first.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("v"), F.col(score).alias("f")))).alias("r"))
+        start = F.struct(F.array().cast(f"array<{kind}>").alias("won"), F.col("_f").alias("f"), F.col("_v").alias("v"))
+        folded = settle(taken.join(champions, by).select(by, F.aggregate("r", start, step).alias("a")))
+        some = folded.select(by, F.explode("a.won").alias(order))
+        won = some if won is None else won.unionByName(some)
+        champions = folded.select(by, F.col("a.v").alias("_v"), F.col("a.f").alias("_f"))
+        left = settle(left.join(champions, by).filter((F.col(order) > F.col("_v")) & (F.col(score) >= F.col("_f") + margin)).drop("_v", "_f"))
+        if left.isEmpty():
+            break
+    last = won.groupBy(by).agg(F.max(order).alias("_last"))
+    champion = won.join(last, by)
+    return versions.join(champion, [by, order], "left").withColumn(
         "stage", F.when(F.col("_last").isNull(), "Staging")
         .when(F.col("_last") == F.col(order), "Production").otherwise("Archived")).drop("_last")
 
@@ -92,6 +104,27 @@ def history(versions: DataFrame, runs: DataFrame, metrics: Sequence[str] = ("wei
           for m in metrics])
 
 
+def performance_report(versions: DataFrame, runs: DataFrame, n: int = 10,
+                       metrics: Sequence[str] = ("weighted_f1", "accuracy", "roc_auc")) -> DataFrame:
+    """One table of what serves, what was registered and what ran last.
+
+    ``part`` is ``serving`` (the version each model serves with), ``version`` (all, with
+    metrics) or ``run`` (the ``n`` latest); ``rank`` orders each part.  ``versions`` has a
+    stage for every row.
+    """
+    known = history(versions, runs, metrics)
+    served = serving_version(versions).select("model_name", "version")
+    number = Window.partitionBy("model_name").orderBy(F.desc("version"))
+    rows = known.select("model_name", F.col("version").cast("string").alias("name"), "stage", "run_id", *metrics, F.row_number().over(number).alias("rank"))
+    best = served.select("model_name", F.col("version").cast("string").alias("name")).join(rows, ["model_name", "name"])
+    late = recent_runs(runs, n)  # at most n rows
+    last = late.select(F.col("experiment").alias("model_name"), F.col("run_name").alias("name"), F.lit(None).cast("string").alias("stage"), "run_id",
+                       *metrics, F.row_number().over(Window.orderBy(F.desc("start_time"), "run_id")).alias("rank"))
+    return (best.withColumn("part", F.lit("serving")).withColumn("rank", F.lit(1))
+            .unionByName(rows.withColumn("part", F.lit("version"))).unionByName(last.withColumn("part", F.lit("run")))
+            .select("part", "rank", "model_name", "name", "stage", "run_id", *metrics))
+
+
 def run_sources(docs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Distinct sorted sources as JSON; distinct rows first, so sets stay small."""
     return docs.select(*by, "source").distinct().groupBy(*by).agg(

@@ -9,44 +9,57 @@ from ..functions import tokens as tk
 from ..functions.stems import stem_array
 from ..functions.text import clean_text
 from ..operators.audit import lemmas
+from ..session import settle
 from .config import Setup
 
 
-def lemmatise_array(df: DataFrame, tokens: str, key: str, lemma_map: DataFrame) -> DataFrame:
+def lemmatise_array(df: DataFrame, tokens: str, lexicon: DataFrame | None = None) -> DataFrame:
     """Replaces tokens by their lemmas, keeping order.
 
-    Only the distinct terms of a document meet the lemma map, and only map
-    entries that change a term take part, so the join carries little.
+    Rows are matched by a digest of their tokens, so equal token lists meet the lexicon
+    once and rows need no key.  Only distinct terms that change take part in the join.
+    The rows are settled first: what comes before runs once, though it is read for the
+    vocabulary, the changes and the result.  Without ``lexicon`` (column ``term``) the
+    words of the rows themselves serve as one.
     """
-    changed = lemma_map.filter(F.col("lemma") != F.col("term"))
-    pairs = (df.select(key, F.explode(F.array_distinct(tokens)).alias("term"))
-             .join(changed, "term")
-             .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("term", "lemma"))).alias("_map")))
-    joined = df.join(pairs, key, "left")
+    held = settle(df.withColumn("_key", F.md5(F.concat_ws("\x1f", tokens))))
+    pairs = held.dropDuplicates(["_key"]).select("_key", F.explode(F.array_distinct(tokens)).alias("term"))
+    vocab = pairs.select("term").distinct()
+    changed = lemmas(vocab, vocab if lexicon is None else lexicon).filter(F.col("lemma") != F.col("term"))
+    maps = pairs.join(changed, "term").groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("term", "lemma"))).alias("_map"))
     swapped = F.transform(tokens, lambda t: F.coalesce(F.col("_map")[t], t))
-    return joined.withColumn(
-        tokens, F.when(F.col("_map").isNull(), F.col(tokens)).otherwise(swapped)).drop("_map")
+    return held.join(maps, "_key", "left").withColumn(
+        tokens, F.when(F.col("_map").isNull(), F.col(tokens)).otherwise(swapped)).drop("_map", "_key")
 
 
-def preprocess(df: DataFrame, setup: Setup, text: str = "text", key: str = "doc_id",
-               cleaned: str | None = None, lexicon: DataFrame | None = None) -> DataFrame:
+def split_words(df: DataFrame, setup: Setup, text: str = "text", cleaned: str | None = None) -> DataFrame:
+    """Adds ``_clean``, ``tokens`` and ``removed_stopwords``: cleaned, cut and without stopwords, not yet reduced."""
+    clean: Column = F.col(cleaned) if cleaned else clean_text(F.col(text))
+    base = df.withColumn("_clean", clean).withColumn("_all", tk.tokenize(F.col("_clean"), setup.tokens.tokenizer))
+    work = base.withColumn("removed_stopwords", tk.removed_stopwords(F.col("_all"), setup.tokens.stopword_list))
+    return work.withColumn("tokens", tk.remove_stopwords(F.col("_all"), setup.tokens.stopword_list)).drop("_all")
+
+
+def lexicon_of(df: DataFrame, setup: Setup, text: str = "text", cleaned: str | None = None) -> DataFrame:
+    """``term``: the distinct words the lemmatiser looks its candidates up in, where a corpus serves as lexicon."""
+    return split_words(df, setup, text, cleaned).select(F.explode("tokens").alias("term")).distinct()
+
+
+def preprocess(df: DataFrame, setup: Setup, text: str = "text", cleaned: str | None = None,
+               lexicon: DataFrame | None = None) -> DataFrame:
     """Adds ``processed_text``, ``tokens`` and ``removed_stopwords``.
 
     Without a normaliser, or with a stemmer, this is one projection.  The
     lemmatiser needs ``lexicon`` (column ``term``); by default the words of
     the corpus itself serve as lexicon.
     """
-    clean: Column = F.col(cleaned) if cleaned else clean_text(F.col(text))
-    base = df.withColumn("_clean", clean).withColumn("_all", tk.tokenize(F.col("_clean"), setup.tokens.split))
-    work = base.withColumn("removed_stopwords", tk.removed_stopwords(F.col("_all"), setup.tokens.stop))
-    work = work.withColumn("tokens", tk.remove_stopwords(F.col("_all"), setup.tokens.stop)).drop("_all")
-    if setup.tokens.reduce in ("porter", "snowball"):
-        work = work.withColumn("tokens", stem_array(F.col("tokens"), setup.tokens.reduce))
-    elif setup.tokens.reduce == "lemmatizer":
-        vocab = work.select(F.explode("tokens").alias("term")).distinct()
-        work = lemmatise_array(work, "tokens", key, lemmas(vocab, lexicon if lexicon is not None else vocab))
-    elif setup.tokens.reduce != "none":
-        raise ValueError(f"unknown normalization: {setup.tokens.reduce}")
-    kept = tk.keep_long(F.col("tokens"), setup.tokens.shortest)
+    work = split_words(df, setup, text, cleaned)
+    if setup.tokens.normalization in ("porter", "snowball"):
+        work = work.withColumn("tokens", stem_array(F.col("tokens"), setup.tokens.normalization))
+    elif setup.tokens.normalization == "lemmatizer":
+        work = lemmatise_array(work, "tokens", lexicon)
+    elif setup.tokens.normalization != "none":
+        raise ValueError(f"unknown normalization: {setup.tokens.normalization}")
+    kept = tk.keep_long(F.col("tokens"), setup.tokens.min_token_length)
     work = work.withColumn("tokens", tk.or_fallback(kept, F.col("_clean"))).drop("_clean")
     return work.withColumn("processed_text", F.array_join("tokens", " "))

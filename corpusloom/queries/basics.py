@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.fixed import TEMPLATE_OBJECTS, TEMPLATE_SUBJECTS, TEMPLATE_VERBS
 from ..functions.numbers import safe_float
 from ..operators import corpus as co
-from ..operators import ratelimit, registry, sampling
+from ..operators import ordered, ratelimit, registry, sampling
 from ..plans.config import NORMALIZATION_CODES, STOPWORD_CODES, TOKENIZER_CODES
+from ..sources import accesslog
 from ..sources.files import label_from_file_name
 from ..sources.generate import sentences
 from ..streaming.windows import tumbling_metrics as window_metrics
@@ -227,6 +228,37 @@ def sliding_window_count(spark: SparkSession, data: str) -> DataFrame:
     return ratelimit.sliding_count(table(spark, data, "events")).select("event_id", "user_id", "recent")
 
 
+#: Events written as lines of an access log, some of them cut off.
+LINES_SQL = r"""lines AS (SELECT strftime(ts, '%Y-%m-%d %H:%M:%S,%g') || ' | INFO | POST /' || event_type
+  || CASE WHEN event_id % 97 = 0 THEN '' ELSE ' status=' || CASE WHEN event_type = 'error' THEN '500' WHEN user_id % 10 = 0 THEN '429' ELSE '200' END END
+  || ' client=u' || user_id || ' time_ms=' || printf('%.2f', value) AS line FROM events)"""
+
+
+def _log_lines(spark: SparkSession, data: str) -> DataFrame:
+    status = F.when(F.col("event_type") == "error", "500").when(F.col("user_id") % 10 == 0, "429").otherwise("200")
+    return table(spark, data, "events").select(F.concat(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS"), F.lit(" | INFO | POST /"), "event_type",
+        F.when(F.col("event_id") % 97 == 0, "").otherwise(F.concat(F.lit(" status="), status)),
+        F.lit(" client=u"), "user_id", F.lit(" time_ms="), F.format_string("%.2f", "value")).alias("value"))
+
+
+@query("endpoint_summary", rf"""WITH {LINES_SQL},
+p AS (SELECT regexp_extract(line, '\| POST (\S+) ', 1) AS path, regexp_extract(line, ' status=(\d{{3}}) ', 1)::INTEGER AS status,
+  regexp_extract(line, ' time_ms=([0-9.]+)$', 1)::DOUBLE AS t FROM lines
+  WHERE regexp_matches(line, '^\d{{4}}-\d{{2}}-\d{{2}} \d{{2}}:\d{{2}}:\d{{2}},\d{{3}} \| \w+ \| \w+ \S+ status=\d{{3}} client=\S+ time_ms=[0-9.]+$'))
+SELECT path, status, count(*) AS requests, round(quantile_cont(t, 0.5), 6) AS median_ms,
+  round(quantile_cont(t, 0.95), 6) AS p95_ms, max(t) AS max_ms FROM p GROUP BY ALL""")
+def endpoint_summary(spark: SparkSession, data: str) -> DataFrame:
+    return accesslog.endpoint_summary(accesslog.parse(_log_lines(spark, data)))
+
+
+@query("price_quantiles", """SELECT l_returnflag AS flag, count(*) AS n, round(quantile_cont(l_extendedprice, 0.01), 6) AS q01,
+  round(quantile_cont(l_extendedprice, 0.5), 6) AS q50, round(quantile_cont(l_extendedprice, 0.99), 6) AS q99 FROM lineitem GROUP BY ALL""")
+def price_quantiles(spark: SparkSession, data: str) -> DataFrame:
+    found = ordered.quantiles(table(spark, data, "lineitem"), "l_extendedprice", {"q01": 0.01, "q50": 0.5, "q99": 0.99}, ["l_returnflag"])
+    return found.select(F.col("l_returnflag").alias("flag"), "n", *[F.round(c, 6).alias(c) for c in ("q01", "q50", "q99")])
+
+
 @query("tumbling_metrics", """SELECT strftime(time_bucket(INTERVAL 1 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type,
   count(*) AS n, round(sum(value), 6) AS total, max(value) AS highest FROM events GROUP BY ALL""")
 def tumbling_metrics(spark: SparkSession, data: str) -> DataFrame:

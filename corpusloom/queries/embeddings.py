@@ -257,7 +257,7 @@ def compare_models(spark: SparkSession, data: str) -> DataFrame:
 @query("stopword_effect")
 def stopword_effect(spark: SparkSession, data: str) -> DataFrame:
     corpus = _corpus(spark, data)
-    lists = [Setup(f"{name}_stopwords", Tokens(name), Features(most=20000)) for name in ("default", "custom")]
+    lists = [Setup(f"{name}_stopwords", Tokens(name), Features(max_features=20000)) for name in ("default", "custom")]
     return ex.run_group(lists, corpus)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import LABELS
 from ..operators import bayes, metrics, terms
 from . import sql
-from .base import labelled, labelled_postings, labelled_split, query, shared
+from .base import labelled, labelled_postings, labelled_split, query, shared, table
 
 ALPHAS = (0.01, 0.1, 0.5, 1.0, 2.0, 5.0)
 FEATURES = 5000
@@ -170,7 +170,8 @@ roc AS (SELECT threshold,
 
 
 def _scored(spark: SparkSession, data: str) -> DataFrame:
-    return nb_predictions(spark, data).withColumn("score", F.col("p_real"))
+    """Engines add up log-probabilities in different orders: scores compared here have 6 digits."""
+    return nb_predictions(spark, data).withColumn("score", F.round("p_real", 6))
 
 
 @query("eval_roc", f"""WITH {PRED_SQL}, {ROC_SQL}
@@ -185,7 +186,38 @@ p AS (SELECT round(p_real, 6) AS s, label FROM pred)
 SELECT round(sum(CASE WHEN a.s > b.s THEN 1.0 WHEN a.s = b.s THEN 0.5 ELSE 0.0 END)::DOUBLE / count(*), 6) AS auc
 FROM p a JOIN p b ON a.label = 'real' AND b.label = 'fake'""")
 def eval_auc(spark: SparkSession, data: str) -> DataFrame:
-    return metrics.auc(metrics.roc_points(_scored(spark, data)))
+    return metrics.auc(metrics.roc_points(_scored(spark, data))).withColumn("auc", F.round("auc", 6))
+
+
+#: Line items as cases: returned ones are the positive class, the price of a unit the score, each line status on its own.
+CASES_SQL = """cases AS (SELECT l_linestatus AS status, l_returnflag = 'R' AS hit,
+  l_extendedprice * (1.0 - l_discount) / l_quantity AS score FROM lineitem)"""
+
+
+def _cases(spark: SparkSession, data: str) -> DataFrame:
+    return table(spark, data, "lineitem").select(
+        F.col("l_linestatus").alias("status"), F.when(F.col("l_returnflag") == "R", "real").otherwise("fake").alias("label"),
+        (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")) / F.col("l_quantity")).alias("score"))
+
+
+@query("roc_full_scores", f"""WITH {CASES_SQL},
+steps AS (SELECT status, score, count(*) FILTER (hit) AS pos, count(*) FILTER (NOT hit) AS neg FROM cases GROUP BY ALL)
+SELECT status, score AS threshold, pos, neg,
+  CASE WHEN sum(neg) OVER w = 0 THEN 0.0 ELSE sum(neg) OVER (w ORDER BY score DESC)::DOUBLE / (sum(neg) OVER w)::DOUBLE END AS fpr,
+  CASE WHEN sum(pos) OVER w = 0 THEN 0.0 ELSE sum(pos) OVER (w ORDER BY score DESC)::DOUBLE / (sum(pos) OVER w)::DOUBLE END AS tpr
+FROM steps WINDOW w AS (PARTITION BY status)""")
+def roc_full_scores(spark: SparkSession, data: str) -> DataFrame:
+    """Unrounded scores, as many thresholds as there are."""
+    return metrics.roc_points(_cases(spark, data), by=["status"]).select("status", "threshold", "pos", "neg", "fpr", "tpr")
+
+
+@query("auc_full_scores", f"""WITH {CASES_SQL},
+ranked AS (SELECT status, hit, 2 * rank() OVER (w ORDER BY score) + count(*) OVER (PARTITION BY status, score) - 1 AS twice
+  FROM cases WINDOW w AS (PARTITION BY status)),
+sums AS (SELECT status, count(*) FILTER (hit) AS p, count(*) FILTER (NOT hit) AS n, coalesce(sum(twice) FILTER (hit), 0) AS s FROM ranked GROUP BY status)
+SELECT status, CASE WHEN p * n = 0 THEN 0.0 ELSE (s - p * (p + 1))::DOUBLE / (2.0 * p * n) END AS auc FROM sums""")
+def auc_full_scores(spark: SparkSession, data: str) -> DataFrame:
+    return metrics.auc(metrics.roc_points(_cases(spark, data), by=["status"]), ["status"])
 
 
 @query("eval_errors", f"""WITH {PRED_SQL},

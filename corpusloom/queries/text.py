@@ -100,7 +100,7 @@ SELECT doc_id, label, source, array_to_string(removed, ' ') AS removed_stopwords
   CASE WHEN len(kept) > 0 THEN len(kept) ELSE 1 END::INTEGER AS n_tokens
 FROM f""")
 def preprocess_configured(spark: SparkSession, data: str) -> DataFrame:
-    config = Setup("plain", Tokens("custom", shortest=2))
+    config = Setup("plain", Tokens("custom", min_token_length=2))
     done = preprocess(labelled(spark, data).drop("tokens"), config, cleaned="clean_text")
     return done.select("doc_id", "label", "source", "processed_text",
                        F.array_join("removed_stopwords", " ").alias("removed_stopwords"),

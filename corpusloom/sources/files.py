@@ -6,9 +6,11 @@ by itself and the plans are united; the driver only lists names and headers.
 
 from __future__ import annotations
 
+import pathlib
 import posixpath
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,34 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def create_once(spark: SparkSession, path: str, content: str) -> bool:
+    """Writes a new file; False, and nothing written, if there is one already.
+
+    Of writers that meet, one creates the file: Hadoop file systems decide it where they
+    create without overwriting, the local one by its exclusive mode.
+    """
+    p = _path(spark, path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getScheme() == "file":
+        local = pathlib.Path(p.toUri().getPath())
+        local.parent.mkdir(parents=True, exist_ok=True)
+        try:
+            with open(local, "x", encoding="utf-8") as out:
+                out.write(content)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError:
+        if fs.exists(p):
+            return False
+        raise
+    out.write(bytearray(content.encode()))
+    out.close()
+    return True
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
     """Sorted paths below ``folder`` whose file name matches a glob."""
     if not exists(spark, folder):

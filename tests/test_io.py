@@ -160,7 +160,7 @@ def small_corpus(spark):
 
 
 def test_experiments_and_registry(spark, small_corpus, tmp_path):
-    configs = [Setup("nb", features=Features("bow"), model=Model("naive_bayes")), Setup("lr", features=Features(damped=True)),
+    configs = [Setup("nb", features=Features("bow"), model=Model("naive_bayes")), Setup("lr", features=Features(sublinear_tf=True)),
                Setup("poly", model=Model("polynomial_lr"))]
     rows = experiments.run_group(configs, small_corpus).collect()
     assert [r.name for r in sorted(rows, key=lambda r: r.run_order)] == ["nb", "lr", "poly"]

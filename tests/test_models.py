@@ -159,24 +159,27 @@ def test_promotion_fold(spark):
     assert registry.serving_version(registry.promotions(df)).first().version == 3
 
 
-def test_promotion_fold_many_blocks(spark):
+@pytest.mark.parametrize("head", [10000, 3])
+def test_promotion_fold_many_blocks(spark, head):
     rng = np.random.default_rng(5)
-    f1 = [round(float(x), 6) for x in rng.random(500)]
+    f1 = [float(x) for x in rng.random(500)] + [0.5, 0.5 + 1e-9, 2.0, 2.0 + 0.01, 2.0 + 0.0199999]
     want, champ = [], -1.0
     for i, f in enumerate(f1):
-        if not want or round(f - champ, 6) >= 0.01:
+        if not want or f >= champ + 0.01:
             want.append(i)
             champ = f
-    df = spark.createDataFrame([("m", i, f) for i, f in enumerate(f1)], "model_name string, version int, f1 double")
+    df = spark.createDataFrame([("m", i, f) for i, f in enumerate(f1)] + [("one", 7, 0.1)], "model_name string, version int, f1 double")
     recs = registry.records(df, block=7)
     best, keep = -1.0, []
     for i, f in enumerate(f1):
         if f > best:
             keep.append(i)
             best = f
-    assert sorted(r.version for r in recs.collect()) == keep
-    got = sorted(r.version for r in registry.promotions(df).filter("stage <> 'Staging'").collect())
-    assert got == want
+    assert sorted(r.version for r in recs.filter("model_name = 'm'").collect()) == keep
+    rows = registry.promotions(df, head=head).collect()
+    assert sorted(r.version for r in rows if r.stage != "Staging" and r.model_name == "m") == want
+    assert [r.version for r in rows if r.stage == "Production" and r.model_name == "m"] == want[-1:]
+    assert len(rows) == len(f1) + 1 and next(r.stage for r in rows if r.model_name == "one") == "Production"
 
 
 def test_logistic_optimum_and_pca(spark, docs):
