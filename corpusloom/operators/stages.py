@@ -1,9 +1,4 @@
-"""Estimators and models that Spark ML lacks, as pipeline stages that can be saved.
-
-Their sums over sparse vectors are products with a stored vector
-(``ElementwiseProduct``), so no Python worker and no literal of vocabulary size is in a
-plan.
-"""
+"""Estimators and models that Spark ML lacks, as pipeline stages that can be saved; they run without Python workers."""
 
 from __future__ import annotations
 
@@ -13,29 +8,19 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import ElementwiseProduct
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasInputCol, HasLabelCol, HasOutputCol, HasProbabilityCol, HasRawPredictionCol
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import LABELS
 from .bayes import EPS
 from .projection import fit_pca
-from .vectors import sparse_parts
-
-
-def with_products(df: DataFrame, features: str, vectors: Sequence[Sequence[float]], out: str) -> DataFrame:
-    """Adds ``out``: an array with the product of each row's sparse vector and each of ``vectors``."""
-    sums: list[Column] = []
-    for i, weights in enumerate(vectors):
-        df = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol=features, outputCol=f"{out}_{i}").transform(df)
-        sums.append(F.aggregate(sparse_parts(F.col(f"{out}_{i}"))["values"], F.lit(0.0), lambda a, v: a + v))
-    return df.withColumn(out, F.array(*sums)).drop(*[f"{out}_{i}" for i in range(len(vectors))])
+from .vectors import with_products
 
 
 class _BayesParams(HasFeaturesCol, HasLabelCol, HasProbabilityCol, HasRawPredictionCol):

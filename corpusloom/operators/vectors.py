@@ -37,6 +37,19 @@ def sparse_vector(size: Column, indices: Column, values: Column) -> Column:
     return F.from_json(F.to_json(body), T.StructType([T.StructField("v", VectorUDT())]))["v"]
 
 
+def with_products(df: DataFrame, features: str, vectors: Sequence[Sequence[float]], out: str) -> DataFrame:
+    """Adds ``out``: an array with the product of each row's sparse vector and each of ``vectors``.
+
+    A product is a stage with a stored vector (``ElementwiseProduct``) and a sum, so no
+    Python worker and no literal of vocabulary size is in the plan.
+    """
+    sums: list[Column] = []
+    for i, weights in enumerate(vectors):
+        df = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol=features, outputCol=f"{out}_{i}").transform(df)
+        sums.append(F.aggregate(sparse_parts(F.col(f"{out}_{i}"))["values"], F.lit(0.0), lambda a, v: a + v))
+    return df.withColumn(out, F.array(*sums)).drop(*[f"{out}_{i}" for i in range(len(vectors))])
+
+
 class SublinearCounts(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Replaces each count ``c`` of a sparse vector by ``1 + ln(c)``."""
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import KEY_TERMS, SIMILARITY_PAIRS
@@ -11,7 +11,7 @@ from ..functions.tokens import tokenize
 from ..operators import embed, linear, metrics, projection, registry, terms
 from ..operators import langmodel as lm
 from ..operators.corpus import combine
-from ..operators.vectors import apply_stages, fit_vectoriser
+from ..operators.vectors import apply_stages, fit_vectoriser, sparse_vector
 from ..plans import experiments as ex
 from ..plans.config import FEATURE_GROUP, MODEL_GROUP, PREPROCESSING_GROUP, Features, Setup, Tokens
 from ..session import settle
@@ -59,6 +59,99 @@ def poly_expand(spark: SparkSession, data: str) -> DataFrame:
     return wide.select("vec_id", *[F.round(F.col("f")[i], 6).alias(n) for i, n in enumerate(names)])
 
 
+#: Two leading directions of a covariance: repeated squaring leaves the projector on the first, which is then taken out.
+_PCA_SQL = """e AS (SELECT vec_id, list_slice(embedding, 1, 8)::DOUBLE[] AS v FROM embeddings),
+i(i) AS (SELECT unnest(range(1, 9))),
+mean AS (SELECT list(a ORDER BY i) AS m FROM (SELECT i, avg(v[i]) AS a FROM e, i GROUP BY i)),
+x AS (SELECT vec_id, list_transform(range(1, 9), lambda k: v[k] - m[k]) AS x FROM e, mean),
+cells AS (SELECT a.i AS r, b.i AS c, sum(x[a.i] * x[b.i]) / (count(*) - 1) AS s FROM x, i a, i b GROUP BY a.i, b.i),
+cov AS (SELECT list(row ORDER BY r) AS c FROM (SELECT r, list(s ORDER BY c) AS row FROM cells GROUP BY r)),
+trace AS (SELECT sum(s) AS t FROM cells WHERE r = c)"""
+
+
+def _direction_sql(matrix: str, name: str) -> str:
+    return f"""{name}_p(k, m) AS (SELECT 0, c FROM {matrix} UNION ALL
+  SELECT k + 1, list_transform(m, lambda a: list_transform(m, lambda b: list_dot_product(a, b) / list_sum(list_transform(m, lambda d: list_dot_product(d, d)))))
+  FROM {name}_p WHERE k < 30),
+{name}_c AS (SELECT list_transform(range(1, 9), lambda j: m[1 + list_position(list_transform(m, lambda d: list_dot_product(d, d)),
+    list_max(list_transform(m, lambda d: list_dot_product(d, d)))) - 1][j]) AS u FROM {name}_p WHERE k = 30),
+{name}_u AS (SELECT list_transform(u, lambda z: z / sqrt(list_dot_product(u, u))) AS u FROM {name}_c),
+{name} AS (SELECT list_transform(u, lambda z: z * CASE WHEN list_max(u) >= -list_min(u) THEN 1 ELSE -1 END) AS u,
+  list_dot_product(u, list_transform(c, lambda a: list_dot_product(a, u))) AS value FROM {name}_u, {matrix})"""
+
+
+@query("pca_embeddings", f"""WITH RECURSIVE {_PCA_SQL}, {_direction_sql('cov', 'one')},
+rest AS (SELECT list_transform(range(1, 9), lambda a: list_transform(range(1, 9), lambda b: c[a][b] - value * u[a] * u[b])) AS c FROM cov, one),
+{_direction_sql('rest', 'two')}
+SELECT vec_id, round(list_dot_product(x, one.u), 5) AS x, round(list_dot_product(x, two.u), 5) AS y,
+  round(one.value / t, 6) AS share_x, round(two.value / t, 6) AS share_y FROM x, one, two, trace""")
+def pca_embeddings(spark: SparkSession, data: str) -> DataFrame:
+    """Leading directions of the first eight numbers of each vector."""
+    rows = table(spark, data, "embeddings").select("vec_id", sparse_vector(
+        F.lit(8), F.sequence(F.lit(0), F.lit(7)), F.transform(F.slice("embedding", 1, 8), lambda v: v.cast("double"))).alias("features"))
+    pca = projection.fit_pca(rows, 8)
+    one, two = pca.explained_variance_ratio
+    return pca.project(rows, ["vec_id"]).select("vec_id", F.round(F.col("xy")[0], 5).alias("x"), F.round(F.col("xy")[1], 5).alias("y"),
+                                                F.lit(round(one, 6)).alias("share_x"), F.lit(round(two, 6)).alias("share_y"))
+
+
+# --- the embeddings as vectors of the most frequent words -----------------------------
+
+_WORDS_SQL = f"""{sql.POSTINGS},
+ranked AS (SELECT term, row_number() OVER (ORDER BY sum(tf) DESC, term) - 1 AS n FROM post GROUP BY term),
+vectors AS (SELECT r.term AS word, e.embedding::DOUBLE[] AS v FROM ranked r JOIN embeddings e ON e.vec_id = r.n)"""
+
+
+def _word_table(spark: SparkSession, data: str) -> DataFrame:
+    """``word, vector``: the vector whose id is the word's rank by frequency (from 0)."""
+    vectors = table(spark, data, "embeddings").select(F.col("vec_id").alias("n"), F.transform("embedding", lambda v: v.cast("double")).alias("vector"))
+    # as many words as there are vectors, so the ordered window is over that many rows
+    words = terms.vocabulary(labelled_postings(spark, data), vectors.count())
+    ranked = words.withColumn("n", F.row_number().over(Window.orderBy(F.desc("corpus_tf"), "term")) - 1)
+    return ranked.join(vectors, "n").select(F.col("term").alias("word"), "vector")
+
+
+_DOC_VECTORS_SQL = """sums AS (SELECT p.doc_id, i AS dim, sum(p.tf * v[i]) / sum(p.tf) AS value
+  FROM post p JOIN vectors w ON w.word = p.term, range(1, 65) t(i) GROUP BY ALL)"""
+
+
+@query("doc_vectors_given", f"""WITH {_WORDS_SQL}, {_DOC_VECTORS_SQL}
+SELECT c.doc_id, (i - 1)::INTEGER AS dim, round(coalesce(value, 0.0), 6) AS value
+FROM corpus c CROSS JOIN range(1, 65) t(i) LEFT JOIN sums s ON s.doc_id = c.doc_id AND s.dim = i""")
+def doc_vectors_given(spark: SparkSession, data: str) -> DataFrame:
+    found = embed.document_vectors(labelled(spark, data).select("doc_id", "tokens"), _word_table(spark, data), 64)
+    return found.select("doc_id", F.posexplode("vector").alias("dim", "value")).withColumn("value", F.round("value", 6))
+
+
+@query("word_similarity_given", f"""WITH {_WORDS_SQL},
+u AS (SELECT word, list_transform(v, lambda z: z / greatest(sqrt(list_dot_product(v, v)), 1e-9)) AS v FROM vectors),
+s AS (SELECT a.word AS query, b.word, round(list_dot_product(a.v, b.v), 6) AS similarity FROM u a JOIN u b ON a.word <> b.word)
+SELECT query, word, similarity, rank::INTEGER AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY similarity DESC, word) AS rank FROM s) WHERE rank <= 5""")
+def word_similarity_given(spark: SparkSession, data: str) -> DataFrame:
+    """Five nearest words of every word."""
+    vectors = shared(spark, data, "word_table", lambda: _word_table(spark, data))
+    return embed.neighbours(vectors, vectors.select("word"), 5)
+
+
+@query("feature_concat_given", f"""WITH {_WORDS_SQL}, {_DOC_VECTORS_SQL}, {sql.vocab(200)},
+{sql.weights('SELECT count(*) FROM corpus', True, False)},
+idx AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS i FROM vocab)
+SELECT doc_id, i::INTEGER AS idx, round(weight, 6) AS value FROM w JOIN idx ON idx.term = w.term WHERE round(weight, 6) <> 0
+UNION ALL SELECT doc_id, (199 + dim)::INTEGER, round(value, 6) FROM sums WHERE round(value, 6) <> 0""")
+def feature_concat_given(spark: SparkSession, data: str) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    docs, post = labelled(spark, data).select("doc_id", "tokens"), labelled_postings(spark, data)
+    stages, _ = fit_vectoriser(post, docs, 200)
+    vectors = embed.document_vectors(docs, _word_table(spark, data), 64).select("doc_id", array_to_vector("vector").alias("means"))
+    both = VectorAssembler(inputCols=["features", "means"], outputCol="both").transform(
+        apply_stages(docs, stages, ["doc_id", "features"]).join(vectors, "doc_id"))
+    return (both.select("doc_id", F.posexplode(vector_to_array("both")).alias("idx", "value"))
+            .withColumn("value", F.round("value", 6)).filter("value <> 0"))
+
+
 # --- trained word vectors --------------------------------------------------------------
 
 

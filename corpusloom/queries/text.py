@@ -338,3 +338,40 @@ SELECT p.term, p.stem AS porter, s.stem AS snowball, l.lemma AS lemmatizer
 FROM porter p JOIN snowball s ON s.term = p.term JOIN lem l ON l.term = p.term""")
 def normaliser_term_map(spark: SparkSession, data: str) -> DataFrame:
     return _forms(spark, data).select("term", "porter", "snowball", F.col("lemma").alias("lemmatizer"))
+
+
+# --- the preprocessing switch with each normaliser ----------------------------------
+
+
+def _switched_sql(normaliser: str, form: str) -> str:
+    """Tokens in order, each replaced by its normal form, short ones dropped, empty lists filled."""
+    return f"""WITH {sql.LABELLED},
+kept AS (SELECT doc_id, clean_text, list_filter({sql.custom('clean_text')}, lambda x: lower(x) NOT IN {CUSTOM_STOP}) AS k FROM corpus),
+placed AS (SELECT doc_id, unnest(k) AS term, generate_subscripts(k, 1) AS at FROM kept),
+voc AS (SELECT DISTINCT term FROM placed),
+{normaliser},
+forms AS (SELECT doc_id, list(n.{form} ORDER BY p.at) FILTER (length(n.{form}) >= 2 AND trim(n.{form}) <> '') AS f
+  FROM placed p JOIN norm n ON n.term = p.term GROUP BY doc_id)
+SELECT kept.doc_id, CASE WHEN len(f) > 0 THEN array_to_string(f, ' ') WHEN trim(clean_text) <> '' THEN trim(clean_text) ELSE 'empty' END AS processed_text
+FROM kept LEFT JOIN forms ON forms.doc_id = kept.doc_id"""
+
+
+def _switched(spark: SparkSession, data: str, normalization: str) -> DataFrame:
+    config = Setup(normalization, Tokens("custom", normalization, 2))
+    return preprocess(labelled(spark, data).drop("tokens"), config, cleaned="clean_text").select("doc_id", "processed_text")
+
+
+@query("preprocess_porter", _switched_sql(stemsql.porter("voc", "norm"), "stem"))
+def preprocess_porter(spark: SparkSession, data: str) -> DataFrame:
+    return _switched(spark, data, "porter")
+
+
+@query("preprocess_snowball", _switched_sql(stemsql.snowball("voc", "norm"), "stem"))
+def preprocess_snowball(spark: SparkSession, data: str) -> DataFrame:
+    return _switched(spark, data, "snowball")
+
+
+@query("preprocess_lemmatizer", _switched_sql(stemsql.lemmas("voc", "norm"), "lemma"))
+def preprocess_lemmatizer(spark: SparkSession, data: str) -> DataFrame:
+    """The corpus' own words are the lexicon."""
+    return _switched(spark, data, "lemmatizer")
