@@ -1,11 +1,14 @@
 """N-gram language models with Kneser-Ney smoothing, as count tables and joins.
 
-Training is grouping only: n-gram counts, then context totals and follower
-counts from the *distinct* n-grams.  Scoring first reduces the documents to
-their distinct n-grams, resolves each one once per class through left joins
-(missing statistics mean back-off), and only then returns to the documents.
-Hot words therefore cost one row per distinct n-gram, and the last join back
-to the documents has one row per key on the model side, which AQE can split.
+Words become dense numbers once; a context of two words is one 64-bit number, and
+the counts of all classes stand side by side.  The trigrams of a text hold its bigrams
+(their last two words), so one table of trigram counts gives both orders.
+
+Scoring first reduces the documents to their distinct trigrams, resolves each one
+once through left joins (missing statistics mean back-off), for all orders and classes
+together, and only then returns to the documents.  Hot words therefore cost one row
+per distinct n-gram, and the last join back to the documents has one row per key on
+the model side, which AQE can split.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import LABELS
 from ..functions.tokens import ngrams
+from ..session import settle
+from .ordered import running_sums
 from .terms import attach, top_per_group
 
 DISCOUNT = 0.75
@@ -48,138 +53,170 @@ def top_ngrams(counts: DataFrame, order: int, n: int = 20) -> DataFrame:
     return top_per_group(named, ["label"], "n", ["gram"], n)
 
 
+#: Fixed numbers: words the model does not know, start and end marks; known words follow.
+UNKNOWN, START, END, FIRST = 0, 1, 2, 3
+_LOW = (1 << 32) - 1
+
+
 @dataclass(frozen=True)
 class Model:
-    """Count tables of one model per class."""
+    """One model per class, as tables that all classes share."""
 
-    bigrams: DataFrame
-    trigrams: DataFrame
-    sizes: DataFrame  # one row: v_<label> (vocabulary), b_<label> (bigram types)
+    words: DataFrame  # word, id
+    trigrams: DataFrame  # ctx (first word * 2^32 + second), w, c_<label>
+    bigrams: DataFrame  # ctx (first word), w, c_<label>
     labels: Sequence[str]
+    tokens: str = "tokens"
+
+    def columns(self, prefix: str) -> list[str]:
+        return [f"{prefix}_{c}" for c in self.labels]
+
+    def contexts(self, order: int) -> DataFrame:
+        """``ctx, n_<label>, f_<label>``: total and distinct followers of each context."""
+        grams = self.trigrams if order == 3 else self.bigrams
+        return grams.groupBy("ctx").agg(*[F.sum(f"c_{c}").alias(f"n_{c}") for c in self.labels],
+                                        *[F.sum((F.col(f"c_{c}") > 0).cast("long")).alias(f"f_{c}") for c in self.labels])
+
+    def preceded(self, order: int) -> DataFrame:
+        """``w, b_<label>``: distinct contexts before each word."""
+        grams = self.trigrams if order == 3 else self.bigrams
+        return grams.groupBy("w").agg(*[F.sum((F.col(f"c_{c}") > 0).cast("long")).alias(f"b_{c}") for c in self.labels])
+
+    def sizes(self) -> DataFrame:
+        """One row: vocabulary with its end mark (``v_<label>``) and bigram types (``t_<label>``)."""
+        words = self.preceded(2).agg(*[F.sum((F.col(f"b_{c}") > 0).cast("long")).alias(f"v_{c}") for c in self.labels])
+        return attach(words, self.bigrams.agg(*[F.coalesce(F.sum((F.col(f"c_{c}") > 0).cast("long")), F.lit(0)).alias(f"t_{c}") for c in self.labels]))
+
 
+def fit(train: DataFrame, labels: Sequence[str] = LABELS, tokens: str = "tokens", key: str = "doc_id") -> Model:
+    """Counts of every class.  ``key`` tells documents apart; empty documents count nothing."""
+    labels = sorted(labels)
+    vocab = train.select(F.explode(tokens).alias("word")).distinct().withColumn("_one", F.lit(1))
+    words = settle(running_sums(vocab, ["_one"], [F.col("word")]).select("word", (F.col("before__one") + FIRST).alias("id")))
+    grams = _trigrams(_numbered(train, words, key, tokens, ["label"]), ["label"])
+    counts = [F.sum((F.col("label") == c).cast("long")).alias(f"c_{c}") for c in labels]
+    trigrams = settle(grams.groupBy("ctx", "w").agg(*counts))
+    bigrams = settle(trigrams.groupBy(F.col("ctx").bitwiseAND(F.lit(_LOW)).alias("ctx"), "w").agg(*[F.sum(f"c_{c}").alias(f"c_{c}") for c in labels]))
+    return Model(words, trigrams, bigrams, labels, tokens)
 
-def fit(train: DataFrame, labels: Sequence[str] = LABELS, tokens: str = "tokens") -> Model:
-    bigrams, trigrams = (gram_counts(train, n, tokens=tokens) for n in (2, 3))
-    # every token of a document is the last word of exactly one bigram, and so is </s>:
-    # the distinct last words are the vocabulary with its end mark
-    vocab = bigrams.groupBy("label", "w2").agg(F.sum("c").alias("c"))
-    sizes = vocab.agg(*[F.sum((F.col("label") == c).cast("long")).alias(f"v_{c}") for c in labels])
-    types = bigrams.agg(*[F.sum((F.col("label") == c).cast("long")).alias(f"b_{c}") for c in labels])
-    return Model(bigrams, trigrams, attach(sizes, types), labels)
 
+def _numbered(docs: DataFrame, words: DataFrame, key: str, tokens: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``key, keep, ids``: the words of each document as numbers, in order; documents without words are left out."""
+    rows = docs.select(key, *keep, F.posexplode(tokens).alias("_pos", "word")).join(words, "word", "left")
+    listed = rows.groupBy(key, *keep).agg(F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("id", F.lit(UNKNOWN)).alias("id")))).alias("_list"))
+    return listed.select(key, *keep, F.col("_list.id").alias("ids"))
 
-def _class_value(prefix: str, labels: Sequence[str]) -> Column:
-    branch = None
-    for c in labels:
-        col = F.col(f"{prefix}_{c}")
-        branch = F.when(F.col("label") == c, col) if branch is None else branch.when(F.col("label") == c, col)
-    return branch
 
+def _trigrams(numbered: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``keep, ctx, w`` of every place of the padded documents."""
+    start, end = F.lit(START).cast("long"), F.lit(END).cast("long")
+    padded = numbered.select(*keep, F.concat(F.array(start, start), "ids", F.array(end)).alias("p"))
+    size = F.size("p") - 2
+    zipped = F.arrays_zip(F.slice("p", 1, size).alias("a"), F.slice("p", 2, size).alias("b"), F.slice("p", 3, size).alias("w"))
+    return padded.select(*keep, F.explode(zipped).alias("g")).select(
+        *keep, (F.shiftleft("g.a", 32) + F.col("g.b")).alias("ctx"), F.col("g.w").alias("w"))
 
-def _per_class(rows: DataFrame, labels: Sequence[str]) -> DataFrame:
-    return rows.withColumn("label", F.explode(F.array(*[F.lit(c) for c in labels])))
 
+def _interpolate(c: str, lower: Column, uniform: Column) -> Column:
+    n, count = F.col(f"n_{c}"), F.coalesce(F.col(f"c_{c}"), F.lit(0))
+    p = F.greatest(count - DISCOUNT, F.lit(0.0)) / n + DISCOUNT * F.col(f"f_{c}") / n * lower
+    return F.when(F.coalesce(n, F.lit(0)) == 0, lower).when(p > 0, p).otherwise(uniform)
 
-def bigram_probability(model: Model, pairs: DataFrame) -> DataFrame:
-    """``label, w1, w2, p1, p2`` for distinct word pairs under each class.
 
-    ``p1`` is the continuation probability of ``w2``; ``p2`` interpolates it
-    with the discounted bigram count, or equals it for an unseen context.
+def probabilities(model: Model, asked: DataFrame) -> DataFrame:
+    """``ctx, w, p2_<label>, p3_<label>`` for distinct trigrams ``ctx, w``: of their last two words, and of all three.
+
+    The lowest order is the continuation probability of the word; a bigram interpolates
+    it with its discounted count, or equals it for an unseen context, and so on.
     """
-    predecessors = model.bigrams.groupBy("label", "w2").agg(F.count(F.lit(1)).alias("before"))
-    asked = attach(_per_class(pairs, model.labels), model.sizes).withColumn(
-        "_v", _class_value("v", model.labels)).withColumn("_b", _class_value("b", model.labels)).select(
-        "label", "w1", "w2", "_v", "_b")
-    joined = (asked.join(model.bigrams, ["label", "w1", "w2"], "left")
-              .join(context_stats(model.bigrams, 2), ["label", "w1"], "left")
-              .join(predecessors, ["label", "w2"], "left"))
-    uniform = 1.0 / F.greatest(F.col("_v"), F.lit(1))
-    p1 = F.when(F.col("before") > 0, F.col("before") / F.col("_b")).otherwise(uniform)
-    return joined.withColumn("p1", p1).withColumn("_u", uniform).withColumn(
-        "p2", _interpolate("p1")).select("label", "w1", "w2", "p1", "p2", F.col("_u").alias("uniform"))
+    pair = F.col("ctx").bitwiseAND(F.lit(_LOW))
+    pairs = asked.select(pair.alias("ctx"), "w").distinct()
+    joined = attach(pairs.join(model.bigrams, ["ctx", "w"], "left").join(model.contexts(2), "ctx", "left").join(model.preceded(2), "w", "left"), model.sizes())
+    two = joined.select(F.col("ctx").alias("_pair"), F.col("w").alias("_w"), *[x for c in model.labels for x in (
+        _interpolate(c, _lowest(c), _uniform(c)).alias(f"p2_{c}"), _uniform(c).alias(f"u_{c}"))])
+    three = asked.join(model.trigrams, ["ctx", "w"], "left").join(model.contexts(3), "ctx", "left")
+    both = three.join(two, (pair == two["_pair"]) & (three["w"] == two["_w"]))
+    return both.select("ctx", "w", *model.columns("p2"), *[_interpolate(c, F.col(f"p2_{c}"), F.col(f"u_{c}")).alias(f"p3_{c}") for c in model.labels])
+
+
+def _uniform(c: str) -> Column:
+    return 1.0 / F.greatest(F.col(f"v_{c}"), F.lit(1))
 
 
-def _interpolate(lower: str) -> Column:
-    c = F.coalesce(F.col("c"), F.lit(0))
-    p = (F.greatest(c - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("followers") * F.col(lower)) / F.col("n")
-    return F.when(F.coalesce(F.col("n"), F.lit(0)) == 0, F.col(lower)).when(p > 0, p).otherwise(F.col("_u"))
+def _lowest(c: str) -> Column:
+    return F.when(F.col(f"b_{c}") > 0, F.col(f"b_{c}") / F.col(f"t_{c}")).otherwise(_uniform(c))
 
 
 def trigram_probability(model: Model, triples: DataFrame) -> DataFrame:
     """``label, w1, w2, w3, p3`` for distinct word triples under each class."""
-    lower = bigram_probability(model, triples.select(
-        F.col("w2").alias("w1"), F.col("w3").alias("w2")).distinct()).select(
-        "label", F.col("w1").alias("w2"), F.col("w2").alias("w3"), "p2", F.col("uniform").alias("_u"))
-    joined = (_per_class(triples, model.labels)
-              .join(lower, ["label", "w2", "w3"])
-              .join(model.trigrams, ["label", "w1", "w2", "w3"], "left")
-              .join(context_stats(model.trigrams, 3), ["label", "w1", "w2"], "left"))
-    return joined.select("label", "w1", "w2", "w3", _interpolate("p2").alias("p3"))
+    marks = triples.sparkSession.createDataFrame([("<s>", START), ("</s>", END)], "word string, id long")
+    known = model.words.unionByName(marks)
+    rows = triples
+    for w in words(3):
+        rows = rows.join(known.select(F.col("word").alias(w), F.col("id").alias(f"i_{w}")), w, "left")
+    number = {w: F.coalesce(f"i_{w}", F.lit(UNKNOWN)) for w in words(3)}
+    rows = rows.select(*words(3), (F.shiftleft(number["w1"], 32) + number["w2"]).alias("ctx"), number["w3"].alias("w"))
+    found = rows.join(probabilities(model, rows.select("ctx", "w").distinct()), ["ctx", "w"])
+    return found.select(*words(3), F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(f"p3_{c}").alias("p3")) for c in model.labels])).alias("x")).select(
+        "x.label", *words(3), "x.p3")
 
 
-def _perplexity(rows: DataFrame, probabilities: DataFrame, order: int, p: str, key: str) -> DataFrame:
-    keys = words(order)
-    logs = rows.join(probabilities.select("label", *keys, F.log(F.col(p) + EPS).alias("lp")), keys)
-    return logs.groupBy(key, "label").agg(F.exp(-F.avg("lp")).alias("perplexity"))
+def _long_form(scored: DataFrame, key: str, orders: Sequence[int], labels: Sequence[str]) -> DataFrame:
+    return scored.select(key, F.explode(F.array(*[
+        F.struct(F.lit(n).alias("n_order"), F.lit(c).alias("label"), F.col(f"x{n}_{c}").alias("perplexity")) for n in orders for c in labels])).alias("x")).select(
+        key, "x.n_order", "x.label", "x.perplexity")
 
 
-def perplexity(model: Model, docs: DataFrame, order: int = 3, key: str = "doc_id",
-               tokens: str = "tokens") -> DataFrame:
-    """``key, label, perplexity`` of every document under every class.
+def perplexities(model: Model, docs: DataFrame, orders: Sequence[int] = (1, 2, 3), key: str = "doc_id") -> DataFrame:
+    """``key, n_order, label, perplexity`` of every document under every class, for several orders in one pass.
 
     Documents without tokens have infinite perplexity.
     """
-    filled = docs.select(key, tokens).filter(F.size(tokens) > 0)
-    empty = _per_class(docs.select(key, tokens).filter(F.size(tokens) == 0).select(key), model.labels).select(
-        key, "label", F.lit(float("inf")).alias("perplexity"))
-    if order == 1:  # no bigrams to continue from: every token is equally likely
-        u = 1.0 / F.greatest(_class_value("v", model.labels), F.lit(1))
-        scored = attach(_per_class(filled.select(key), model.labels), model.sizes).select(
-            key, "label", F.exp(-F.log(u + EPS)).alias("perplexity"))
-    else:
-        rows = gram_rows(filled, order, [key], tokens)
-        distinct = rows.select(*words(order)).distinct()
-        if order == 2:
-            scored = _perplexity(rows, bigram_probability(model, distinct), 2, "p2", key)
-        elif order == 3:
-            scored = _perplexity(rows, trigram_probability(model, distinct), 3, "p3", key)
-        else:
-            raise ValueError("orders 1 to 3 are supported")
-    return scored.unionByName(empty)
+    if not set(orders) <= {1, 2, 3}:
+        raise ValueError("orders 1 to 3 are supported")
+    rows = settle(_trigrams(_numbered(docs, model.words, key, model.tokens), [key]).groupBy(key, "ctx", "w").agg(F.count(F.lit(1)).alias("m")))
+    logs = [F.log(F.col(f"p{n}_{c}") + EPS).alias(f"l{n}_{c}") for n in (2, 3) for c in model.labels]
+    found = probabilities(model, rows.select("ctx", "w").distinct()).select("ctx", "w", *logs)
+    means = rows.join(found, ["ctx", "w"]).groupBy(key).agg(*[
+        F.exp(-F.sum(F.col("m") * F.col(f"l{n}_{c}")) / F.sum("m")).alias(f"x{n}_{c}") for n in (2, 3) for c in model.labels])
+    # with one word there is nothing to continue from: every token is equally likely
+    scored = attach(means, model.sizes().select(*[F.exp(-F.log(_uniform(c) + EPS)).alias(f"x1_{c}") for c in model.labels]))
+    empty = docs.filter(F.size(model.tokens) <= 0).select(key, *[F.lit(float("inf")).alias(f"x{n}_{c}") for n in (1, 2, 3) for c in model.labels])
+    return _long_form(scored.unionByName(empty), key, orders, model.labels)
+
+
+def perplexity(model: Model, docs: DataFrame, order: int = 3, key: str = "doc_id") -> DataFrame:
+    """``key, label, perplexity`` of every document under every class."""
+    return perplexities(model, docs, [order], key).drop("n_order")
 
 
 def classify(scores: DataFrame, key: str = "doc_id") -> DataFrame:
     """The class of lowest perplexity; ties go to the first label."""
     return scores.groupBy(key).agg(
-        F.min_by("label", F.struct(F.round("perplexity", 3), "label")).alias("prediction"),
+        F.min_by("label", F.struct("perplexity", "label")).alias("prediction"),
         F.min("perplexity").alias("perplexity"))
 
 
 # --- the older model ---------------------------------------------------------------
 
-def perplexity_v1(train: DataFrame, docs: DataFrame, labels: Sequence[str] = LABELS,
-                  key: str = "doc_id", tokens: str = "tokens") -> DataFrame:
-    """Trigram model that backs off to the uniform distribution.
+def perplexity_v1(model: Model, docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Trigram model that backs off to the uniform distribution: ``key, label, perplexity``.
 
     The back-off weight counts the distinct contexts *before the word*; the
     vocabulary leaves out the end mark.
     """
-    trigrams = gram_counts(train, 3, tokens=tokens)
-    contexts = context_stats(trigrams, 3)
-    before = trigrams.groupBy("label", "w3").agg(F.count(F.lit(1)).alias("u"))
-    sizes = before.filter(F.col("w3") != "</s>").agg(
-        *[F.sum((F.col("label") == c).cast("long")).alias(f"v_{c}") for c in labels])
-    rows = gram_rows(docs.filter(F.size(tokens) > 0), 3, [key], tokens)
-    asked = attach(_per_class(rows.select(*words(3)).distinct(), labels), sizes).withColumn(
-        "_v", F.greatest(_class_value("v", labels), F.lit(1))).select("label", *words(3), "_v")
-    joined = (asked.join(trigrams, ["label", *words(3)], "left")
-              .join(contexts, ["label", *words(2)], "left")
-              .join(before, ["label", "w3"], "left"))
-    seen = (F.greatest(F.coalesce("c", F.lit(0)) - DISCOUNT, F.lit(0.0))
-            + DISCOUNT * F.coalesce("u", F.lit(0)) / F.col("_v")) / F.col("n")
-    p = F.when(F.coalesce("n", F.lit(0)) == 0, 1.0 / F.col("_v")).otherwise(seen)
-    scored = _perplexity(rows, joined.select("label", *words(3), p.alias("p")), 3, "p", key)
-    empty = _per_class(docs.filter(F.size(tokens) == 0).select(key), labels).select(
-        key, "label", F.lit(float("inf")).alias("perplexity"))
-    return scored.unionByName(empty)
-
+    before = model.preceded(3)
+    sizes = before.filter(F.col("w") != END).agg(*[F.sum((F.col(f"b_{c}") > 0).cast("long")).alias(f"v_{c}") for c in model.labels])
+    rows = settle(_trigrams(_numbered(docs, model.words, key, model.tokens), [key]).groupBy(key, "ctx", "w").agg(F.count(F.lit(1)).alias("m")))
+    asked = rows.select("ctx", "w").distinct()
+    joined = attach(asked.join(model.trigrams, ["ctx", "w"], "left").join(model.contexts(3), "ctx", "left").join(before, "w", "left"), sizes)
+
+    def seen(c: str) -> Column:
+        n, count, u = F.col(f"n_{c}"), F.coalesce(F.col(f"c_{c}"), F.lit(0)), F.coalesce(F.col(f"b_{c}"), F.lit(0))
+        p = F.greatest(count - DISCOUNT, F.lit(0.0)) / n + DISCOUNT * u / n / F.greatest(F.col(f"v_{c}"), F.lit(1))
+        return F.log(F.when(F.coalesce(n, F.lit(0)) == 0, _uniform(c)).otherwise(p) + EPS)
+
+    found = joined.select("ctx", "w", *[seen(c).alias(f"l_{c}") for c in model.labels])
+    means = rows.join(found, ["ctx", "w"]).groupBy(key).agg(*[F.exp(-F.sum(F.col("m") * F.col(f"l_{c}")) / F.sum("m")).alias(f"x3_{c}") for c in model.labels])
+    empty = docs.filter(F.size(model.tokens) <= 0).select(key, *[F.lit(float("inf")).alias(f"x3_{c}") for c in model.labels])
+    return _long_form(means.unionByName(empty), key, [3], model.labels).drop("n_order")

@@ -116,11 +116,13 @@ ppl AS (
 
 
 def _model(spark: SparkSession, data: str) -> lm.Model:
-    train = _part(spark, data, "train")
-    fitted = lm.fit(train)
-    return lm.Model(shared(spark, data, "lm_bigrams", lambda: fitted.bigrams),
-                    shared(spark, data, "lm_trigrams", lambda: fitted.trigrams),
-                    shared(spark, data, "lm_sizes", lambda: fitted.sizes), fitted.labels)
+    key = (spark.sparkContext.applicationId, data)
+    if key not in _models:
+        _models[key] = lm.fit(_part(spark, data, "train"))  # its tables are settled
+    return _models[key]
+
+
+_models: dict[tuple[str, str], lm.Model] = {}
 
 
 @query("kn_prob", f"WITH {KN_SQL} SELECT label, w1, w2, w3, round(p3, 8) AS p FROM p3")
@@ -132,16 +134,12 @@ def kn_prob(spark: SparkSession, data: str) -> DataFrame:
 
 @query("kn_perplexity", f"WITH {KN_SQL} SELECT n_order, doc_id, label, round(ppl, 3) AS perplexity FROM ppl")
 def kn_perplexity(spark: SparkSession, data: str) -> DataFrame:
-    parts, model, test = None, _model(spark, data), _part(spark, data, "test")
-    for n in (1, 2, 3):
-        part = lm.perplexity(model, test, n).select(
-            F.lit(n).alias("n_order"), "doc_id", "label", F.round("perplexity", 3).alias("perplexity"))
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    found = lm.perplexities(_model(spark, data), _part(spark, data, "test"))
+    return found.withColumn("perplexity", F.round("perplexity", 3))
 
 
 @query("lm_classify", f"""WITH {KN_SQL},
-r AS (SELECT doc_id, label, row_number() OVER (PARTITION BY doc_id ORDER BY round(ppl, 3), label) AS rn FROM ppl WHERE n_order = 3),
+r AS (SELECT doc_id, label, row_number() OVER (PARTITION BY doc_id ORDER BY ppl, label) AS rn FROM ppl WHERE n_order = 3),
 pred AS (SELECT r.doc_id, d.label, r.label AS prediction FROM r JOIN test d ON d.doc_id = r.doc_id WHERE rn = 1)
 SELECT doc_id, label, prediction FROM pred""")
 def lm_classify(spark: SparkSession, data: str) -> DataFrame:
@@ -151,7 +149,7 @@ def lm_classify(spark: SparkSession, data: str) -> DataFrame:
 
 
 @query("lm_metrics", f"""WITH {KN_SQL},
-r AS (SELECT doc_id, label, row_number() OVER (PARTITION BY doc_id ORDER BY round(ppl, 3), label) AS rn FROM ppl WHERE n_order = 3),
+r AS (SELECT doc_id, label, row_number() OVER (PARTITION BY doc_id ORDER BY ppl, label) AS rn FROM ppl WHERE n_order = 3),
 pred AS (SELECT r.doc_id, d.label, r.label AS prediction FROM r JOIN test d ON d.doc_id = r.doc_id WHERE rn = 1),
 {metrics_sql('pred')} SELECT * FROM weighted""")
 def lm_metrics(spark: SparkSession, data: str) -> DataFrame:
@@ -179,8 +177,25 @@ p AS (SELECT q.doc_id, s.label, CASE WHEN coalesce(x3.n, 0) = 0 THEN 1.0 / s.v
 SELECT doc_id, label, round(exp(-avg(ln(p + 1e-12))), 2) AS perplexity FROM p
 WHERE doc_id IN (SELECT doc_id FROM test WHERE len(k) > 0) GROUP BY ALL""")
 def lm_v1_perplexity(spark: SparkSession, data: str) -> DataFrame:
+    return _v1(spark, data)[0].withColumn("perplexity", F.round("perplexity", 2))
+
+
+def _v1(spark: SparkSession, data: str) -> tuple[DataFrame, DataFrame]:
+    """Perplexities of the test part of an unstratified split, and that part."""
     tokens = _tokens(spark, data).drop("part")
     parts = sampling.split(labelled(spark, data).select("doc_id"), by=())
     both = tokens.join(parts, "doc_id")
-    scores = lm.perplexity_v1(both.filter(F.col("part") == "train"), both.filter(F.col("part") == "test"))
-    return scores.withColumn("perplexity", F.round("perplexity", 2))
+    test = both.filter(F.col("part") == "test")
+    return lm.perplexity_v1(lm.fit(both.filter(F.col("part") == "train")), test), test
+
+
+@query("lm_v1_metrics", f"""WITH {V1_SQL},
+ppl AS (SELECT doc_id, label, exp(-avg(ln(p + 1e-12))) AS ppl FROM p WHERE doc_id IN (SELECT doc_id FROM test WHERE len(k) > 0) GROUP BY ALL),
+r AS (SELECT doc_id, label, row_number() OVER (PARTITION BY doc_id ORDER BY ppl, label) AS rn FROM ppl),
+pred AS (SELECT r.doc_id, d.label, r.label AS prediction FROM r JOIN test d ON d.doc_id = r.doc_id WHERE rn = 1),
+{metrics_sql('pred')} SELECT * FROM weighted""")
+def lm_v1_metrics(spark: SparkSession, data: str) -> DataFrame:
+    """The older model as a classifier: each document goes to the class of lowest perplexity."""
+    scores, test = _v1(spark, data)
+    predicted = lm.classify(scores.filter(F.col("perplexity") != float("inf")))
+    return metrics.evaluate(test.select("doc_id", "label").join(predicted, "doc_id"))
