@@ -18,8 +18,8 @@ HEADLINE = [
     "clean_text", "tokenize_custom", "noise_audit", "stem_porter", "stem_snowball", "lemmatize_dictionary",
     "bow", "tfidf_smooth", "top_tfidf_terms", "discriminative_terms", "retrieve_topk", "similar_pairs",
     "corpus_centrality", "nb_predict", "nb_alpha_sweep", "eval_class_report", "eval_auc", "explain_contributions",
-    "ngram_counts", "lr_eval", "split_stratified", "sliding_window_count",
-    "rate_limit_admission", "tumbling_metrics", "promotion_fold",
+    "ngram_counts", "kn_perplexity", "lm_classify", "lr_eval", "split_stratified", "sliding_window_count",
+    "rate_limit_admission", "tumbling_metrics", "promotion_fold", "roc_full_scores", "endpoint_summary",
 ]
 
 

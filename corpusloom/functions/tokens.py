@@ -16,9 +16,12 @@ CUSTOM = rf"{WORD}|[\x{{0600}}-\x{{06FF}}]+|[!?.,;:\-]"
 CONTRACTION = r"(\p{L})(n't|'(?:s|m|d|ll|re|ve))([^\p{L}\p{N}_']|$)"
 TREEBANK = rf"n't|'(?:s|m|d|ll|re|ve)|{WORD}|[^{SPACES}\p{{L}}\p{{N}}_]"
 
-#: ``nltk`` and ``spacy`` name the contraction-splitting regex profile here.
+#: Like the one above, but hyphenated words and runs of dots stay whole, and numbers with their separators.
+WHOLE = rf"n't|'(?:s|m|d|ll|re|ve)|\.{{2,}}|\p{{N}}+(?:[.,]\p{{N}}+)+|{WORD}(?:-{WORD})*|[^{SPACES}\p{{L}}\p{{N}}_]"
+
+#: ``nltk`` keeps hyphenated words, ``spacy`` cuts them; both split contractions.
 PROFILES = {"custom": "custom", "word": "word", "treebank": "treebank",
-            "nltk": "treebank", "spacy": "treebank"}
+            "nltk": "whole", "spacy": "treebank"}
 
 
 def tokenize(col: Column, profile: str = "custom") -> Column:
@@ -32,7 +35,7 @@ def tokenize(col: Column, profile: str = "custom") -> Column:
     if kind == "custom":
         return F.regexp_extract_all(col, F.lit(CUSTOM), F.lit(0))
     split = F.regexp_replace(col, CONTRACTION, "$1 $2$3")
-    return F.regexp_extract_all(split, F.lit(TREEBANK), F.lit(0))
+    return F.regexp_extract_all(split, F.lit(WHOLE if kind == "whole" else TREEBANK), F.lit(0))
 
 
 def word_list(words: Sequence[str]) -> Column:

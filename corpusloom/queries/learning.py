@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import LABELS
-from ..operators import bayes, metrics, terms
+from ..operators import bayes, linear, metrics, terms
+from ..operators.stages import CountBayes
+from ..operators.vectors import apply_stages, fit_vectoriser
 from . import sql
 from .base import labelled, labelled_postings, labelled_split, query, shared, table
 
@@ -220,16 +222,41 @@ def auc_full_scores(spark: SparkSession, data: str) -> DataFrame:
     return metrics.auc(metrics.roc_points(_cases(spark, data), by=["status"]), ["status"])
 
 
-@query("eval_errors", f"""WITH {PRED_SQL},
-bad AS (SELECT *, row_number() OVER (ORDER BY md5(doc_id::VARCHAR || ':42'), doc_id) AS rn FROM pred WHERE label <> prediction),
-t AS (SELECT (SELECT count(*) FROM pred) AS evaluated, count(*) AS wrong,
+BEST_SQL = f"""{BASE_SQL}, {nb_sql(ALPHAS)}, {metrics_sql('pred', 'alpha')},
+best AS (SELECT * FROM pred WHERE alpha = (SELECT alpha FROM weighted ORDER BY f1 DESC, alpha LIMIT 1))"""
+
+
+def nb_best(spark: SparkSession, data: str) -> DataFrame:
+    """Test predictions at the smoothing with the best F1 (the smallest of equals)."""
+    scores = shared(spark, data, "nb_sweep", lambda: nb_scores(spark, data, ALPHAS))
+    table = metrics.evaluate(scores, by=["alpha"])
+    best = table.agg(F.max_by("alpha", F.struct("f1", -F.col("alpha"))).alias("_best"))
+    return terms.attach(scores, best).filter(F.col("alpha") == F.col("_best")).drop("_best")
+
+
+@query("eval_errors", f"""WITH {BEST_SQL},
+bad AS (SELECT *, row_number() OVER (ORDER BY md5(doc_id::VARCHAR || ':42'), doc_id) AS rn FROM best WHERE label <> prediction),
+t AS (SELECT (SELECT count(*) FROM best) AS evaluated, count(*) AS wrong,
   count(*) FILTER (label = 'real') AS false_positive, count(*) FILTER (rn <= 30) AS sampled,
   count(*) FILTER (rn <= 30 AND label = 'real') AS sampled_false_positive FROM bad)
 SELECT evaluated, wrong, round(wrong::DOUBLE / evaluated, 6) AS rate, false_positive,
   wrong - false_positive AS false_negative, sampled, sampled_false_positive,
   sampled - sampled_false_positive AS sampled_false_negative FROM t""")
 def eval_errors(spark: SparkSession, data: str) -> DataFrame:
-    return metrics.error_summary(nb_predictions(spark, data))
+    """Errors of the model with the best smoothing."""
+    return metrics.error_summary(nb_best(spark, data))
+
+
+@query("nb_pipeline", f"""WITH {PRED_SQL}
+SELECT doc_id, label, CASE WHEN p_real > p_fake THEN 'real' ELSE 'fake' END AS prediction, round(p_real, 6) AS p_real FROM pred""")
+def nb_pipeline(spark: SparkSession, data: str) -> DataFrame:
+    """The same classifier as a saved stage: vectoriser, Bayes model, row by row."""
+    docs = labelled(spark, data).select("doc_id", "tokens").join(labelled_split(spark, data), "doc_id")
+    train, test = (docs.filter(F.col("part") == p) for p in ("train", "test"))
+    vectors, names = fit_vectoriser(split_frames(spark, data)["train"], train, FEATURES)
+    rows = {p: apply_stages(d, vectors, ["doc_id", "label", "features"]) for p, d in (("train", train), ("test", test))}
+    model = CountBayes(smoothing=1.0, size=len(names)).fit(rows["train"])
+    return linear.predict(model, rows["test"], ["doc_id", "label"]).select("doc_id", "label", "prediction", F.round("score", 6).alias("p_real"))
 
 
 @query("explain_contributions", f"""WITH {PRED_SQL},

@@ -9,7 +9,7 @@ from ..functions import text as tx
 from ..functions import tokens as tk
 from ..functions.fixed import ROMAN_URDU, STOPWORDS_ADDED, STOPWORDS_KEPT, stopwords
 from ..operators import audit, terms
-from ..operators.corpus import drop_blank
+from ..operators.corpus import combine, drop_blank
 from ..plans.config import Setup, Tokens
 from ..plans.preprocess import preprocess
 from ..session import widen
@@ -340,6 +340,25 @@ def normaliser_term_map(spark: SparkSession, data: str) -> DataFrame:
     return _forms(spark, data).select("term", "porter", "snowball", F.col("lemma").alias("lemmatizer"))
 
 
+def _profiles_sql() -> str:
+    contraction = sql.q(r"(\p{L})(n't|'(?:s|m|d|ll|re|ve))([^\p{L}\p{N}_']|$)")
+    split = f"regexp_replace(clean_text, {contraction}, '\\1 \\2\\3', 'g')"
+    other = rf"[^{sql.SP}\p{{L}}\p{{N}}_]"
+    cut = sql.find_all(split, rf"n't|'(?:s|m|d|ll|re|ve)|{sql.WORD}|{other}")
+    whole = sql.find_all(split, rf"n't|'(?:s|m|d|ll|re|ve)|\.{{2,}}|\p{{N}}+(?:[.,]\p{{N}}+)+|{sql.WORD}(?:-{sql.WORD})*|{other}")
+    return f"""WITH {sql.DOCS}
+SELECT doc_id, 'spacy' AS profile, len({cut})::INTEGER AS n_tokens, md5(array_to_string({cut}, ' ')) AS tokens FROM docs
+UNION ALL SELECT doc_id, 'nltk', len({whole})::INTEGER, md5(array_to_string({whole}, ' ')) FROM docs"""
+
+
+@query("tokenize_profiles", _profiles_sql())
+def tokenize_profiles(spark: SparkSession, data: str) -> DataFrame:
+    """The two named profiles differ in hyphenated words, numbers and runs of dots."""
+    docs = documents(spark, data).select("doc_id", "clean_text")
+    return combine([docs.select("doc_id", F.lit(p).alias("profile"), tk.tokenize(F.col("clean_text"), p).alias("k")).select(
+        "doc_id", "profile", F.size("k").alias("n_tokens"), F.md5(F.array_join("k", " ")).alias("tokens")) for p in ("spacy", "nltk")])
+
+
 # --- the preprocessing switch with each normaliser ----------------------------------
 
 

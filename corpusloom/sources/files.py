@@ -1,7 +1,8 @@
 """File sources: labelled CSV and TSV collections into ``text, label, source``.
 
-Headers differ between the files of one collection, so each file is planned
-by itself and the plans are united; the driver only lists names and headers.
+Headers and encodings differ between the files of one collection.  All of them are read
+in one scan without a header: what each file's first record says about its columns is
+joined back by file, so neither the number of plans nor the driver grows with the files.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.corpus import (assemble_text, combine, drop_blank, fold_label, normalise_header,
-                                normalise_labels)
+from ..operators.corpus import combine, drop_blank, fold_label, normalise_header, normalise_labels
 from ..operators.sampling import sample_exact
 from ..schemas import CORPUS, STATEMENTS
+from ..session import settle
 
 # --- fixed values: collection folders, files, and their text columns ------------
 HEALTH = ("covid19-fakenews", {"content", "title", "abstract", "newstitle"})
@@ -106,20 +107,54 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def _empty(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], CORPUS)
+def manifest(spark: SparkSession, paths: str | list[str], glob: str = "*") -> DataFrame:
+    """``path, valid, whole, width``, one row a file below ``paths`` whose name matches ``glob``.
 
+    ``valid``: it is UTF-8.  ``whole``: no line has an open quote, so the file can be split
+    at any line.  ``width``: columns at most.  One job over the lines of all files.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(paths)
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    commas = F.octet_length("value") - F.octet_length(F.replace("value", F.lit(","), F.lit("")))
+    return lines.select(F.col("_metadata.file_path").alias("path"), "value").groupBy("path").agg(
+        F.bool_and(F.is_valid_utf8("value")).alias("valid"), F.bool_and(quotes % 2 == 0).alias("whole"), F.max(commas + 1).alias("width"))
 
-def _united(spark: SparkSession, parts: Sequence[DataFrame]) -> DataFrame:
-    return combine(parts) if parts else _empty(spark)
 
+def read_tables(spark: SparkSession, paths: str | list[str], columns: set[str], glob: str = "*") -> DataFrame:
+    """``file, names, text`` of every record of the CSV files below ``paths``.
 
-def _text_table(spark: SparkSession, path: str, columns: set[str], label: str, source: str) -> DataFrame | None:
-    df = normalise_header(read_csv(spark, path))
-    text = assemble_text(df, sorted(columns))
-    if text is None:
-        return None
-    return drop_blank(df.select(text.alias("text"), F.lit(label).alias("label"), F.lit(source).alias("source")), "text")
+    ``text`` joins the file's columns named in ``columns``, in file order, without nulls;
+    ``names`` are all its column names, trimmed and lowered.  UTF-8, or Latin-1 where a
+    file is not valid UTF-8.  Files whose quotes close within their lines are split like
+    any text; others are read by one task each, record by record.  Only a count and the
+    largest width reach the driver.
+    """
+    known = settle(manifest(spark, paths, glob))
+    size = known.agg(F.max("width").alias("width"), F.bool_or("whole").alias("split"), F.bool_or(~F.col("whole")).alias("unsplit")).first()
+    if size.width is None:
+        return spark.createDataFrame([], "file string, names array<string>, text string")
+    names = [f"c{i}" for i in range(size.width)]
+
+    def scan(lines: bool) -> DataFrame:
+        # bytes as characters: what they mean is known by file
+        rows = (spark.read.schema(", ".join(f"{c} string" for c in names)).option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+                .option("multiLine", not lines).option("escape", '"').option("encoding", "ISO-8859-1").csv(paths))
+        at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+        file = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))  # as in a URI, where + is a plus
+        rows = rows.select(F.col("_metadata.file_path").alias("path"), file.alias("file"), at.alias("at"), F.array(*names).alias("cells"))
+        return rows.join(known.filter(F.col("whole") == lines).select("path", "valid"), "path")
+
+    rows = combine([scan(lines) for lines, some in ((True, size.split), (False, size.unsplit)) if some])
+    decoded = F.when(F.col("valid"), F.transform("cells", lambda c: F.decode(F.encode(c, "ISO-8859-1"), "UTF-8"))).otherwise(F.col("cells"))
+    rows = rows.select("path", "file", "at", decoded.alias("cells"))
+    heads = rows.groupBy("path").agg(F.min_by("cells", "at").alias("head"), F.min("at").alias("first"))
+    heads = heads.select("path", "first", F.transform("head", lambda c: F.lower(F.trim(c))).alias("names"))
+    cells = F.transform(F.arrays_zip("names", "cells"), lambda z: F.when(z["names"].isin(*sorted(columns)), z["cells"]))
+    return rows.join(heads, "path").filter(F.col("at") != F.col("first")).select("file", F.array_compact("names").alias("names"), F.array_join(cells, " ").alias("text"))
+
+
+def _empty(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], CORPUS)
 
 
 def _sampled(df: DataFrame, n: int | None) -> DataFrame:
@@ -132,34 +167,35 @@ def _sampled(df: DataFrame, n: int | None) -> DataFrame:
 
 def load_health(spark: SparkSession, root: str, sample: int | None = None) -> DataFrame:
     folder, columns = HEALTH
-    parts = []
-    for path in list_files(spark, resolve(spark, root, folder), "*COVID-19*.csv"):
-        name = posixpath.basename(path)
-        label = "fake" if "fake" in name.lower() else "real" if "real" in name.lower() else None
-        part = _text_table(spark, path, columns, label, name) if label else None
-        if part is not None:
-            parts.append(part)
-    return _sampled(_united(spark, parts), sample)
+    base = resolve(spark, root, folder)
+    if not exists(spark, base):
+        return _empty(spark)
+    rows = read_tables(spark, base, columns, "*COVID-19*.csv").select("text", label_from_file_name(F.col("file")).alias("label"), F.col("file").alias("source"))
+    return _sampled(drop_blank(rows.filter(F.col("label").isNotNull()), "text"), sample)
+
+
+def _named(spark: SparkSession, found: dict[str, tuple[str, str]], columns: set[str], sample: int | None) -> DataFrame:
+    """Texts of a few files by path, each with the label and source of its name."""
+    paths = [p for p in found if exists(spark, p)]
+    if not paths:
+        return _empty(spark)
+    tags = F.create_map(*[F.lit(x) for p in paths for x in (posixpath.basename(p), "\u0001".join(found[p]))])
+    tag = F.split(tags[F.col("file")], "\u0001")
+    rows = read_tables(spark, paths, columns).select("text", tag[0].alias("label"), tag[1].alias("source"))
+    return _sampled(drop_blank(rows, "text"), sample)
 
 
 def load_outlets(spark: SparkSession, root: str, sample: int | None = None) -> DataFrame:
     folder, outlets, columns = OUTLETS
     base = resolve(spark, root, folder)
-    parts = []
-    for outlet in outlets:
-        for label in ("fake", "real"):
-            path = posixpath.join(base, f"{outlet}_{label}_news_content.csv")
-            if exists(spark, path):
-                parts.append(_text_table(spark, path, columns, label, f"fakenewsnet-{outlet}"))
-    return _sampled(_united(spark, [p for p in parts if p is not None]), sample)
+    return _named(spark, {posixpath.join(base, f"{o}_{label}_news_content.csv"): (label, f"fakenewsnet-{o}")
+                          for o in outlets for label in ("fake", "real")}, columns, sample)
 
 
 def load_news(spark: SparkSession, root: str, sample: int | None = None) -> DataFrame:
-    folder, files, columns = NEWS
+    folder, names, columns = NEWS
     base = resolve(spark, root, folder)
-    parts = [_text_table(spark, posixpath.join(base, f), columns, label, folder)
-             for f, label in files.items() if exists(spark, posixpath.join(base, f))]
-    return _sampled(_united(spark, [p for p in parts if p is not None]), sample)
+    return _named(spark, {posixpath.join(base, f): (label, folder) for f, label in names.items()}, columns, sample)
 
 
 def load_statements(spark: SparkSession, root: str, sample: int | None = None) -> DataFrame:

@@ -47,6 +47,39 @@ def test_collections(spark, root):
         corpus.require_rows(empty)
 
 
+def test_one_scan_reads_many_files(spark, tmp_path):
+    """Headers, encodings, widths and line breaks differ by file; nothing depends on their number."""
+    base, want = tmp_path / "datasets" / "covid19-fakenews", set()
+    base.mkdir(parents=True)
+    for i in range(60):
+        label, name = ("fake", f"NewsFakeCOVID-19 {i}.csv") if i % 2 else ("real", f"ClaimRealCOVID-19_{i}.csv")
+        kind = i % 5
+        body = {0: f' Title ,x,CONTENT\n"t, {i}",1,c{i}\n,2,only{i}\n', 1: f'abstract\n"line1 {i}\nline2"\n"""q"""\n', 2: f"newstitle,other\ncafé {i},y\n",
+                3: f"other,thing\na,b{i}\n", 4: f"a,b,c,d,e,f,title\n1,2,3,4,5,6,wide {i}\nshort\n"}[kind]
+        (base / name).write_bytes(body.encode("latin-1" if kind == 2 and i % 3 else "utf-8"))
+        want |= {(t, label, name) for t in {0: (f"t, {i} c{i}", f"only{i}"), 1: (f"line1 {i}\nline2", '"q"'), 2: (f"café {i}",), 3: (), 4: (f"wide {i}",)}[kind]}
+    (base / "empty COVID-19 fake.csv").write_text("")
+    (base / "no label COVID-19.csv").write_text("title\nx\n")
+    assert {tuple(r) for r in files.load_health(spark, str(tmp_path)).collect()} == want
+    rows = files.read_tables(spark, str(base), {"title"}, "ClaimReal*_0.csv").collect()
+    assert [(r.file, r.names, r.text) for r in rows] == [("ClaimRealCOVID-19_0.csv", ["title", "x", "content"], "t, 0"), ("ClaimRealCOVID-19_0.csv", ["title", "x", "content"], "")]
+
+
+def test_a_file_in_many_splits(spark, tmp_path):
+    path = tmp_path / "News.csv"
+    path.write_text("id,title\n" + "".join(f"{i},text number {i}\n" for i in range(20000)))
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        rows = files.read_tables(spark, str(path), {"title"})
+        assert spark.read.csv(str(path)).rdd.getNumPartitions() > 1  # so is the scan of the file
+        assert {r.text for r in rows.collect()} == {f"text number {i}" for i in range(20000)} and rows.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_generator(spark, tmp_path):
     assert generate.grid(spark).distinct().count() == 216
     made = generate.generate(spark, 500)
