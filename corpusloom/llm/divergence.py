@@ -15,6 +15,8 @@ import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, groupby, repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,8 @@ from .perfecthash import PerfectHash, hashes
 MIN_DOCS, UNIT, TOP = 3, 1_000_000_000, 200
 #: Terms a shard has on average; bytes of terms that one pass broadcasts at most.
 SHARD_TERMS, BROADCAST_BYTES = 1 << 15, 64 << 20
-#: Slots of a block that groups are compared on; slots a task holds; distinct terms a task remembers.
-BLOCK, HELD, REMEMBERED = 1 << 10, 1 << 23, 500_000
+#: Slots of a block that groups are compared on; slots a task holds; distinct terms a task counts documents of.
+BLOCK, HELD, REMEMBERED = 1 << 12, 1 << 25, 500_000
 #: A term in lower case: everything from U+0080 on and the letters, in UTF-8.
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 
@@ -83,7 +85,7 @@ def shards(kept: DataFrame, shard_terms: int = SHARD_TERMS) -> DataFrame:
 
 
 class _Finder:
-    """Slots of one language's terms among the shards of a pass; what it has found is remembered."""
+    """Slots of one language's terms among the shards of a pass; the terms it has found are remembered."""
 
     def __init__(self, held: dict[int, tuple[int, PerfectHash]], number: int) -> None:
         self.held, self.number, self.known = held, number, {}
@@ -94,23 +96,23 @@ class _Finder:
         """Slots from ``low`` on, -1 for terms that no shard here holds."""
         new = list(set(some).difference(self.known))
         if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-                new = list(set(some))
             keys = hashes(new)
-            shard, out = keys.view(np.int64) % self.number, np.full(len(new), -1, np.int64)
+            shard = keys.view(np.int64) % self.number
             for s, (first, hashed) in self.held.items():
                 mine = np.flatnonzero(shard == s)
-                found = hashed.slots([new[i] for i in mine.tolist()], keys[mine])
-                out[mine] = np.where(found < 0, -1, found + first - self.low)
-            self.known.update(zip(new, out.tolist(), strict=True))
-        return np.fromiter(map(self.known.__getitem__, some), np.int64, len(some))
+                if len(mine):
+                    names = [new[i] for i in mine.tolist()]
+                    found = hashed.slots(names, keys[mine]).tolist()
+                    self.known.update((name, slot + first - self.low) for name, slot in zip(names, found, strict=True) if slot >= 0)
+        return np.fromiter(map(self.known.get, some, repeat(-1)), np.int64, len(some))
 
 
-def recount(docs: DataFrame, table: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, held: int = HELD) -> DataFrame:
-    """``lang, source, slot, n``: occurrences of the terms of ``shards`` in each group, where there are any.
+def recount(docs: DataFrame, table: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, block: int = BLOCK, held: int = HELD) -> DataFrame:
+    """``lang, source, block, n, slots, counts``: partial counts of the terms of ``shards`` in each group.
 
-    Slots number the terms of a language, shard after shard.
+    Slots number the terms of a language, shard after shard; a row holds those of one
+    block that occur, as numbers from the block's start (32 bits) and their counts (64
+    bits), and ``n``, the sum of these.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -131,48 +133,69 @@ def recount(docs: DataFrame, table: DataFrame, broadcast_bytes: int = BROADCAST_
         ends = [(r["lang"], r["shard"]) for r in (rows[0], rows[-1])]
         here = F.struct("lang", "shard").between(*(F.struct(F.lit(a), F.lit(b).cast("long")) for a, b in ends))
         packed = [(place[r["lang"], r["shard"]], bytes(r["hashed"])) for r in table.filter(here).select("lang", "shard", "hashed").toLocalIterator()]
-        counted = settle(source.mapInArrow(_counter(spark.sparkContext.broadcast(packed), held), "lang string, source string, slot bigint, n bigint")
-                         .groupBy("lang", "source", "slot").agg(F.sum("n").alias("n")), "cells")
+        counted = settle(source.mapInArrow(_counter(spark.sparkContext.broadcast(packed), block, held), CELLS), "cells")
         out = counted if out is None else out.unionByName(counted)
-    return spark.createDataFrame([], "lang string, source string, slot bigint, n bigint") if out is None else out
+    return spark.createDataFrame([], CELLS) if out is None else out
 
 
-def _counter(shared, most: int):
-    """Counts the rows of a task into dense slots per group; holds ``most`` slots, or one group's."""
+#: Columns of partial counts.
+CELLS = "lang string, source string, block bigint, n bigint, slots binary, counts binary"
+
+
+def _counter(shared, width: int, most: int):
+    """Counts the rows of a task into dense slots per group; holds ``most`` slots, or one batch's groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finders, dense = {}, {}
         by_lang: dict[str, tuple[int, dict]] = {}
         for row, packed in shared.value:
             by_lang.setdefault(row["lang"], (row["shards"], {}))[1][row["shard"]] = (row["first"], pickle.loads(packed))
-        for lang, (number, held) in by_lang.items():
-            finders[lang] = _Finder(held, number)
+        finders = {lang: _Finder(held, number) for lang, (number, held) in by_lang.items()}
+        dense: dict[tuple[str, str], np.ndarray] = {}
+        counted = 0
 
         def close() -> Iterator[pa.RecordBatch]:
             for (lang, source), slots in dense.items():
                 some = np.flatnonzero(slots)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array([source] * len(some), pa.string()),
-                                                  pa.array(some + finders[lang].low, pa.int64()), pa.array(slots[some], pa.int64())], ["lang", "source", "slot", "n"])
+                if not len(some):
+                    continue
+                counts, at = slots[some], some + finders[lang].low
+                blocks, cuts = np.unique(at // width, return_index=True)
+                ends = [*cuts[1:].tolist(), len(at)]
+                within = (at % width).astype("<u4")
+                rows = [(lang, source, b, int(counts[i:j].sum()), within[i:j].tobytes(), counts[i:j].astype("<i8").tobytes())
+                        for b, i, j in zip(blocks.tolist(), cuts.tolist(), ends, strict=True)]
+                yield _batch(rows, schema)
             dense.clear()
 
+        schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("block", pa.int64()), ("n", pa.int64()), ("slots", pa.binary()), ("counts", pa.binary())])
         for batch in batches:
-            grouped: dict[tuple[str, str], list[bytes]] = {}
+            grouped: dict[str, list[tuple[str, list[bytes]]]] = {}
             for lang, source, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 if lang in finders:
-                    grouped.setdefault((lang, source), []).extend(terms(text))
-            for group, some in grouped.items():
-                finder = finders[group[0]]
-                slots = finder.slots(some)
-                if group not in dense:
-                    if sum(map(len, dense.values())) + finder.size > most:
-                        yield from close()
-                    dense[group] = np.zeros(finder.size, np.int64)
-                dense[group] += np.bincount(slots[slots >= 0], minlength=finder.size)
+                    grouped.setdefault(lang, []).append((source, terms(text)))
+            for lang, rows in grouped.items():
+                slots = finders[lang].slots(list(chain.from_iterable(some for _, some in rows)))
+                rows = sorted(zip((source for source, _ in rows), np.split(slots, np.cumsum([len(some) for _, some in rows])[:-1]), strict=True), key=itemgetter(0))
+                for source, some in groupby(rows, itemgetter(0)):
+                    if (lang, source) not in dense:
+                        if sum(map(len, dense.values())) + finders[lang].size > most:
+                            yield from close()
+                        dense[lang, source] = np.zeros(finders[lang].size, np.uint32)
+                    found = np.concatenate([s for _, s in some])
+                    np.add.at(dense[lang, source], found[found >= 0], np.uint32(1))
+                    counted += len(found)
+            if counted >> 31:  # before a slot can be full
+                yield from close()
+                counted = 0
         yield from close()
 
     return run
 
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), schema.types, strict=True)], schema.names)
+
+
 def share(counts: np.ndarray, total: np.ndarray | int) -> np.ndarray:
     """``1 + floor(UNIT * (counts + 1) / total)`` in whole numbers, digit by digit: nothing exceeds 64 bits."""
     whole, rest = np.divmod(counts + 1, total)
@@ -185,34 +208,49 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def _comparer(width: int):
-    """Pairs of sources summed over a block of slots, and the block's terms that may be among a source's first ``TOP``."""
+    """Pairs of sources summed over a block of slots, and the block's terms that may be among a source's first ``TOP``.
+
+    Rows come sorted by block, each block's first with the sources and totals of its
+    language; only one block's counts are held.
+    """
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("other", pa.string()), ("slot", pa.int64()), ("value", pa.int64())])
+
+    def compared(lang: str, block: int, kept: int, names: list[str], totals: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        p = share(counts, (totals + kept)[:, None])
+        q = share(counts.sum(0), int(totals.sum()) + kept)
+        at, other, slot, value = [], [], [], []
+        for a in range(len(names)):
+            rest = np.flatnonzero(np.arange(len(names)) != a)
+            over = np.flatnonzero((counts[a] > 0) & (p[a] > q))
+            far = distance(p[a][over], q[over])
+            if len(over) > TOP:
+                stay = far >= np.partition(far, -TOP)[-TOP]
+                over, far = over[stay], far[stay]
+            at.append(np.full(len(rest) + len(over), a))
+            other.append(np.concatenate((rest, np.full(len(over), -1))))
+            slot.append(np.concatenate((np.full(len(rest), -1), over + block * width)))
+            value.append(np.concatenate((distance(p[a], p[rest]).sum(1), far)))
+        at, other, slot, value = map(np.concatenate, (at, other, slot, value))
+        known = pa.array(names, pa.string())
+        return pa.RecordBatch.from_arrays([
+            pa.array([lang]).take(pa.array(np.zeros(len(at), np.int64))), known.take(pa.array(at)), known.take(pa.array(other, mask=other < 0)),
+            pa.array(slot, mask=slot < 0), pa.array(value)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = counts = number = None
         for batch in batches:
-            for row in range(batch.num_rows):
-                lang, block, kept = (batch.column(c)[row].as_py() for c in (0, 1, 2))
-                sources = batch.column(3)[row].values.flatten()
-                names, totals = sources[0].to_pylist(), sources[1].to_numpy()
-                cells = batch.column(4)[row].values.flatten()
-                number = {name: i for i, name in enumerate(names)}
-                at = np.array([number[s] for s in cells[0].to_pylist()], np.int64)
-                counts = np.zeros((len(names), min(width, kept - block * width)), np.int64)
-                counts[at, cells[1].to_numpy() - block * width] = cells[2].to_numpy()
-                p = share(counts, (totals + kept)[:, None])
-                q = share(counts.sum(0), int(totals.sum()) + kept)
-                out: list[tuple] = []
-                for a, name in enumerate(names):
-                    sums = distance(p[a], p).sum(1).tolist()
-                    out += [(lang, name, names[b], None, sums[b]) for b in range(len(names)) if b != a]
-                    over = np.flatnonzero((counts[a] > 0) & (p[a] > q))
-                    value = distance(p[a][over], q[over])
-                    if len(over) > TOP:
-                        stay = value >= np.partition(value, -TOP)[-TOP]
-                        over, value = over[stay], value[stay]
-                    out += [(lang, name, None, slot, v) for slot, v in zip((over + block * width).tolist(), value.tolist(), strict=True)]
-                kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
-                cols = list(zip(*out, strict=True)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["lang", "source", "other", "slot", "value"])
+            rows = zip(*(batch.column(c).to_pylist() for c in ("lang", "block", "kept", "sources", "source", "slots", "counts")), strict=True)
+            for lang, block, kept, sources, source, slots, held in rows:
+                if sources is not None:
+                    if now:
+                        yield compared(*now, counts)
+                    names = [x["source"] for x in sources]
+                    now, number = (lang, block, kept, names, np.array([x["total"] for x in sources], np.int64)), {n: i for i, n in enumerate(names)}
+                    counts = np.zeros((len(names), min(width, kept - block * width)), np.int64)
+                else:
+                    counts[number[source]][np.frombuffer(slots, "<u4")] += np.frombuffer(held, "<i8")
+        if now:
+            yield compared(*now, counts)
 
     return run
 
@@ -227,16 +265,17 @@ def audit(docs: DataFrame, shard_terms: int = SHARD_TERMS, broadcast_bytes: int
     """
     kept = settle(frequent(docs), "terms")
     table = settle(shards(kept, shard_terms), "shards")
-    cells = recount(docs, table, broadcast_bytes, held)
+    cells = recount(docs, table, broadcast_bytes, block, held)
     groups = _rows(docs).select("lang", "source").distinct()
     sums = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     size = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"))
     totals = settle(groups.join(sums, ["lang", "source"], "left").join(size, "lang", "left").select(
         "lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("kept", F.lit(0)).alias("kept")), "totals")
     langs = totals.groupBy("lang").agg(F.first("kept").alias("kept"), F.sort_array(F.collect_list(F.struct("source", "total"))).alias("sources"))
-    blocks = (cells.withColumn("block", F.expr(f"slot div {block}")).groupBy("lang", "block")
-              .agg(F.collect_list(F.struct("source", "slot", "n")).alias("cells")))
-    found = settle(blocks.join(langs, "lang").select("lang", "block", "kept", "sources", "cells")
+    heads = langs.filter("kept > 0").select("lang", F.explode(F.expr(f"sequence(0L, (kept - 1) div {block})")).alias("block"), "kept", "sources")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = settle(heads.unionByName(cells.drop("n"), allowMissingColumns=True).repartition(parts, "lang", "block")
+                   .sortWithinPartitions("lang", "block", F.asc_nulls_first("source")).select("lang", "block", "kept", "sources", "source", "slots", "counts")
                    .mapInArrow(_comparer(block), "lang string, source string, other string, slot bigint, value bigint"), "compared")
 
     summed = found.filter("other IS NOT NULL").groupBy("lang", "source", "other").agg(F.sum("value").alias("value"))

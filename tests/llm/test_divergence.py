@@ -62,14 +62,21 @@ def test_small_blocks_and_few_slots(spark):
     assert {tuple(r) for r in divergence.audit(frame, block=16, held=700).collect()} == slow_audit(rows)
 
 
-def test_memory_of_terms_is_bounded(monkeypatch):
-    monkeypatch.setattr(divergence, "REMEMBERED", 50)
+def test_only_kept_terms_are_remembered():
     strings = [f"t{i}".encode() for i in range(400)]
     finder = divergence._Finder({0: (7, PerfectHash(strings))}, 1)
-    want = (PerfectHash(strings).slots(strings)).tolist()
+    want = PerfectHash(strings).slots(strings).tolist()
     for k in range(0, 400, 40):
-        assert finder.slots([*strings[k:k + 40], b"none"]).tolist() == [*want[k:k + 40], -1]
-        assert len(finder.known) <= 50
+        assert finder.slots([*strings[k:k + 40], b"none", strings[k]]).tolist() == [*want[k:k + 40], -1, want[k]]
+    assert set(finder.known) == set(strings)
+
+
+def test_first_pass_in_small_parts(spark, monkeypatch):
+    rows = made(random.Random(5))
+    frame = spark.createDataFrame(rows, "lang string, source string, text string")
+    want = {tuple(r) for r in divergence.frequent(frame).collect()}
+    monkeypatch.setattr(divergence, "REMEMBERED", 10)
+    assert {tuple(r) for r in divergence.frequent(frame).collect()} == want
 
 
 def test_query(spark, tiny, hard, empty):
