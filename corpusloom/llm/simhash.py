@@ -92,9 +92,8 @@ def links(codes: DataFrame, crowd: int = CROWD) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """``doc_id, fingerprint, component_id, n_links`` for every row of ``docs``.
+    """``doc_id, fingerprint, component_id`` for every row of ``docs``.
 
-    ``n_links`` counts the links found from the row's fingerprint to others.
     Null texts are empty; texts without words have fingerprint zero and link like
     others.  Repeated rows come out once each.  A row without id gets its
     component, whose name is the smallest id that is not null (null if there is
@@ -102,14 +101,11 @@ def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """
     prints = settle(fingerprints(docs), "prints")
     codes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "codes")
-    found = settle(links(codes.select("fp"), crowd).distinct(), "pairs")
-    roots = components(found)
+    roots = components(links(codes.select("fp"), crowd))
     named = codes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    degree = (found.select(F.col("a").alias("fp")).unionByName(found.select(F.col("b").alias("fp")))
-              .groupBy("fp").agg(F.count(F.lit(1)).alias("n_links")))
-    labels = settle(named.join(smallest, "root").join(degree, "fp", "left").select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "named")
-    return prints.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
+    labels = settle(named.join(smallest, "root").select("fp", "component_id"), "named")
+    return prints.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
