@@ -197,6 +197,14 @@ def similar_pairs(spark: SparkSession, data: str) -> DataFrame:
     return retrieve.similar_pairs(_corpus_weights(spark, data), 0.8)
 
 
+@query("copy_membership", f"""WITH {CORPUS_SQL},
+bags AS (SELECT doc_id, string_agg(term || ':' || tf, ' ' ORDER BY term) AS bag FROM w GROUP BY doc_id)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY bag) AS rep, count(*) OVER (PARTITION BY bag) AS copies FROM bags""")
+def copy_membership(spark: SparkSession, data: str) -> DataFrame:
+    """Which documents each side of ``similar_pairs`` stands for."""
+    return retrieve.copy_groups(_corpus_weights(spark, data))
+
+
 @query("corpus_centrality", f"""WITH {CORPUS_SQL}, c AS (SELECT term, sum(weight) AS s FROM w GROUP BY term)
 SELECT doc_id, round(sum(w.weight * c.s) / ({N_ALL}), 6) AS score FROM w JOIN c ON w.term = c.term
 GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 10""")
