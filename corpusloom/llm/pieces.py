@@ -1,8 +1,10 @@
 """SentencePiece encoding and decoding for merge-type vocabularies.
 
 Symbols of a piece of text are merged by an agenda of adjacent pairs in order of
-score, ties by place.  What the agenda makes of each distinct piece is held
-against the library, which encodes the same pieces batch by batch.
+score, ties by place.  Pieces are first cut into parts that cannot merge.  What the
+agenda makes of each distinct part, and the text its ids decode to, is held against the
+library, which encodes and decodes the same parts, and the first text of every batch as
+a whole; a difference raises.
 """
 
 from __future__ import annotations
@@ -46,12 +48,19 @@ class Codec:
         self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == kinds.NORMAL}
         self.bytes = {int(p.piece[3:-1], 16): i for i, p in enumerate(model.pieces) if p.type == kinds.BYTE}
         self.raw = {i: bytes([b]) for b, i in self.bytes.items()} | {i: p.replace(BAR, " ").encode() for p, i in self.ids.items()}
+        if len(model.pieces) > 1 << 16:
+            raise ValueError("ids of this model take more than 16 bits")
         if any(BAR in p.lstrip(BAR) for p in self.ids):
             raise ValueError("pieces of this model hold a space after other characters")
         # no piece joins a line break or text before a space, so texts are cut there
         lines = "\n" if all("\n" not in p or p == "\n" for p in self.ids) else ""
         self.cut = re.compile(f"{BAR}*[^{BAR}{lines}]+|{BAR}+" + (f"|{lines}" if lines else ""))
-        self.memo = Memo(self._checked, limit=600_000)
+        # symbols whose neighbours stand side by side in no piece never merge, so pieces are cut there
+        self.meet = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.line = self.agenda("\n")
+        self.head = self.agenda(BAR) + self.line
+        self.parts = Memo(self._checked, limit=700_000)
+        self.memo = Memo(self._whole, limit=1_000_000)
 
     def agenda(self, text: str) -> list[int]:
         """Ids of a piece of text by merging pairs in order of score, the leftmost of equals first."""
@@ -100,21 +109,46 @@ class Codec:
                 offer(before[left], left)
         return [p for p in parts if p is not None]
 
+    def _cut(self, piece: str) -> list[str]:
+        """The parts of a piece between symbols that never merge."""
+        ends = [i + 1 for i in range(len(piece) - 1) if piece[i:i + 2] not in self.meet]
+        return [piece[a:b] for a, b in zip([0, *ends], [*ends, len(piece)], strict=True)]
+
     def _checked(self, new: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids (32 bits each) and decoded bytes of each piece, as the library has them too."""
-        found = [self.agenda(p) for p in new]
-        spaced = [p[1:].replace(BAR, " ") if p[0] == BAR else None for p in new]
-        plain = [k for k, s in enumerate(spaced) if s is not None and s]
-        for k, ids in zip(plain, self.library.encode([spaced[k] for k in plain], num_threads=1), strict=True):
-            if ids != found[k]:
-                raise ValueError(f"the agenda and the library differ on {new[k]!r}")
-        return [(np.array(ids, np.int32).tobytes(), b"".join(map(self.raw.__getitem__, ids))) for ids in found]
+        """Ids (16 bits each) of each part and the bytes they decode to, as the library has them too.
 
-    def pieces(self, text: str) -> list[tuple[bytes, bytes]]:
-        return self.memo.values([self.cut.findall(BAR + text.replace(" ", BAR))])[0] if text else []
+        The library gets all of them as one text, line by line: a line break merges with
+        nothing, so each line's ids are those of its part.
+        """
+        found = [self.agenda(p) for p in new]
+        lines = [(p, ids) for p, ids in zip(new, found, strict=True) if "\n" not in p]
+        text, flat = "", []
+        for p, ids in lines:
+            text += "\n" + p.replace(BAR, " ")
+            flat += (self.line if flat else self.head) + ids
+        if lines:
+            self.check(text, flat, self.decode(flat))
+        return [(np.array(ids, "<u2").tobytes(), b"".join(map(self.raw.__getitem__, ids))) for ids in found]
+
+    def _whole(self, new: list[str]) -> list[tuple[bytes, bytes]]:
+        """The same of whole pieces, put together from their parts."""
+        return [some[0] if len(some) == 1 else tuple(map(b"".join, zip(*some, strict=True)))
+                for some in self.parts.values([self._cut(p) for p in new])]
+
+    def check(self, text: str, ids: list[int], decoded: str) -> None:
+        """Raises if the library encodes or decodes a text in another way."""
+        if self.library.encode(text) != ids or self.library.decode(ids) != decoded:
+            raise ValueError(f"the agenda and the library differ on the text {text[:200]!r}")
+
+    def both(self, text: str) -> tuple[bytes, bytes]:
+        """Ids (16 bits each) of a text, and the bytes they decode to."""
+        if not text:
+            return b"", b""
+        ids, raw = zip(*self.memo.of(self.cut.findall(BAR + text.replace(" ", BAR))), strict=True)
+        return b"".join(ids), b"".join(raw)[1:]
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(b"".join([ids for ids, _ in self.pieces(text)]), np.int32).tolist()
+        return np.frombuffer(self.both(text)[0], "<u2").tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; the space that encoding puts in front goes."""
@@ -140,15 +174,14 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found_by = codec(model)
         for batch in batches:
-            ids, texts = [], []
-            for text in batch.column(1).to_pylist():
-                found = found_by.pieces(text)
-                ids.append(b"".join([i for i, _ in found]))
-                texts.append(b"".join([b for _, b in found])[1:])
-            counts = np.array([len(i) // 4 for i in ids], np.int64)
+            texts = batch.column(1).to_pylist()
+            found = [found_by.both(t) for t in texts]
+            if found:
+                found_by.check(texts[0], np.frombuffer(found[0][0], "<u2").tolist(), found[0][1].decode(errors="replace"))
+            counts = np.array([len(ids) // 2 for ids, _ in found], np.int64)
             ends = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
-            lists = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(ids), np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts), lists, pa.array(texts, pa.string())],
+            lists = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join([ids for ids, _ in found]), "<u2").astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts), lists, pa.array([raw for _, raw in found], pa.string())],
                                              ["doc_id", "n_tokens", "ids", "decoded"])
 
     source = id_and_text(docs)
