@@ -15,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, small_batches
+from .common import settle, small_batches
 
-#: Bytes of a q-gram; bytes of a window; edits allowed per window byte.
-Q, WINDOW, RATE = 8, 128, 3 / 32
+#: Bytes of a q-gram; bytes of a window, and from one window to the next; edits allowed per window byte.
+#: Any 84 bytes of a benchmark text, some 14 words, hold a whole window.
+Q, WINDOW, STEP, RATE = 8, 72, 12, 3 / 32
 #: Benchmark bytes that one pass over the documents compares with.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Document bytes looked at together.
 PIECE = 1 << 19
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -78,7 +79,7 @@ class Index:
         self.short = [(i, t) for i, (_, t) in enumerate(items) if 0 < len(t) < Q]
         for i, (_, text) in enumerate(items):
             if len(text) >= Q:
-                starts = sorted({*range(0, max(1, len(text) - WINDOW + 1), WINDOW // 2), max(0, len(text) - WINDOW)})
+                starts = sorted({*range(0, max(1, len(text) - WINDOW + 1), STEP), max(0, len(text) - WINDOW)})
                 for s in starts:
                     self.windows.append(text[s:s + WINDOW])
                     self.owner.append(i)
@@ -173,8 +174,8 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, bytes]]]:
 def matches(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The kept columns (``doc_id`` by default) and ``items``, the ids found in each row of ``docs``.
 
-    Each block of the benchmark adds its finds to the same rows: the documents are
-    read once, and one block at a time is compared.  Texts are compared in lower
+    Each block of the benchmark adds its finds to the same rows, which are settled
+    before the next one, so a task and the driver hold one block at a time.  Texts are compared in lower
     case with single spaces.  Items under ``Q`` bytes count as whole words; empty
     items and documents match nothing, and null texts are empty.  Items that repeat
     are all named.  Rows repeat as they came; an empty table gives no rows.
@@ -183,8 +184,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None
     out = docs.select(*[docs[c] for c in keep or ["doc_id"]], F.coalesce(docs["text"], F.lit("")).alias("_text"))
     kind = benchmark.schema["item_id"].dataType
     held = out.withColumn("items", F.array().cast(f"array<{kind.simpleString()}>"))
-    for items in blocks(benchmark):
-        held = held.mapInArrow(_look(items), held.schema)
+    for number, items in enumerate(blocks(benchmark)):
+        held = (settle(held, "matches") if number else held).mapInArrow(_look(items), held.schema)
     return held.drop("_text")
 
 
@@ -207,7 +208,10 @@ def flag(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark text, with the columns they came with."""
+    """The documents that hold no benchmark text, with the columns they came with.
+
+    Empty and null texts hold none; repeated rows and rows without id are looked at each on their own.
+    """
     plain_names = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     carried = plain_names.select(*plain_names.columns, plain_names[f"c{docs.columns.index('text')}"].alias("text"))
     found = matches(carried, benchmark, plain_names.columns)

@@ -150,24 +150,63 @@ def test_sentence_spans(spark, hard, empty):
     assert next(r.kept_text for r in rows if r.doc_id is None) == "no id"
 
 
-def test_sentences_join_to_the_text(texts):
-    for text in texts.values():
-        assert b"".join(sentences.sentences(text.encode())) == text.encode()
+def test_rows_that_share_an_id(spark):
+    one, two = ("".join(f"{w} sentence number {i} is here. " for i in range(8)) for w in ("First", "Other"))
+    rows = [(1, one), (1, one), (2, two), (2, "Some start of it. " + one), (3, two), (None, one)]
+    got = sorted((r.doc_id or 0, r.kept_text) for r in sentences.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted([(0, one), (1, one), (1, one), (2, two), (2, "Some start of it. "), (3, "")])
 
 
-def test_spans_against_brute_force(docs, texts):
-    seen, gone = {}, collections.defaultdict(set)
-    for i in sorted(texts):
-        words = [tuple(s.split()) for s in sentences.sentences(texts[i].encode())]
+def test_sentences_join_to_the_text(texts):
+    for text in [*texts.values(), "", " \n ", "one,two " * 3000, "x" * 5000, "\n\n a"]:
+        parts = sentences.sentences((text or "").encode())
+        assert b"".join(p for p, _ in parts) == (text or "").encode() and all(p.split() == w and len(w) <= sentences.LONG for p, w in parts)
+
+
+@pytest.mark.parametrize("held", [1 << 19, 300])
+def test_all_runs_against_brute_force(spark, texts, held, monkeypatch):
+    """Every run of two sentences or more, not only the shortest ones."""
+    monkeypatch.setattr(sentences, "HELD", held)
+    rng = random.Random(9)
+    parts = {i: sentences.sentences(t.encode()) for i, t in texts.items()}
+    some = {i: texts[i] for i in sorted(parts) if len(parts[i]) < 100}
+    pool = [p.decode() for i in list(some)[:20] for p, _ in parts[i]]
+    for k in range(60):  # texts made of stretches of others
+        cuts = [rng.randrange(len(pool)) for _ in range(4)]
+        some[10**6 + k] = " ".join("".join(x + " " for x in pool[c:c + rng.randrange(1, 12)]) for c in cuts)
+    known, first, gone = {}, {}, collections.defaultdict(set)
+    for i in sorted(some):
+        words = [tuple(w) for _, w in sentences.sentences(some[i].encode())]
         for a in range(len(words)):
-            b = a + 1 if len(words[a]) >= 50 else next(
-                (b for b in range(a + 2, len(words) + 1) if sum(map(len, words[a:b])) >= 15), None)
-            if words[a] and b:
-                value = tuple(b" ".join(w) for w in words[a:b])
-                if seen.setdefault(value, (i, a)) != (i, a):
-                    gone[i].update(range(a, b))
-    got = {r.doc_id: r.n_removed for r in sentences.drop_repeats(docs).collect()}
-    assert got == {i: len(gone[i]) for i in texts} and sum(got.values()) > 0
+            run = size = 0
+            for b in range(a, len(words)):
+                run = known.setdefault((run, words[b]), len(known) + 1)
+                size += len(words[b])
+                if b > a and size >= 15 and first.setdefault(run, (i, a)) != (i, a):
+                    gone[i].update(range(a, b + 1))
+    got = {r.doc_id: r.n_removed for r in sentences.drop_repeats(spark.createDataFrame(list(some.items()), "doc_id long, text string").repartition(3)).collect()}
+    assert got == {i: len(gone[i]) for i in some} and sum(got.values()) > 500
+
+
+def test_passages_of_over_fifty_words(spark, texts):
+    """Runs of 51 words of a text, begun anywhere, inside other words."""
+    rng = random.Random(10)
+    rows, n = [], 0
+    for i in sorted(texts)[:120]:
+        words = re.findall(r"\S+\s*", texts[i] or "")
+        if len(words) < 120:
+            continue
+        at = rng.randrange(len(words) - 51)
+        if len(set(words[at:at + 51])) < 10:  # one word over and over has no places of its own to cut at
+            continue
+        rows.append((n, "".join(words)))
+        rows.append((10**6 + n, " ".join(f"x{rng.randrange(10**6)}" for _ in range(30)) + " " + "".join(words[at:at + 51]) + " " + " ".join(f"y{rng.randrange(10**6)}" for _ in range(30))))
+        n += 1
+    got = {r.doc_id: r for r in sentences.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    made = [got[10**6 + k] for k in range(n)]
+    caught = sum(r.n_removed > 0 for r in made) / n
+    print(f"{n} passages, caught {caught:.3f}, words removed of 51: {sum(r.n_removed_words for r in made) / n:.1f}")
+    assert n > 50 and caught == 1 and sum(r.n_removed_words for r in made) / n > 35
 
 
 def edits(window, region):
@@ -184,7 +223,7 @@ def test_contamination_against_alignment():
     rng = random.Random(7)
     word = lambda: "".join(rng.choice("aeiounrst") for _ in range(rng.randrange(2, 7)))
     for _ in range(120):
-        window = contamination.plain(" ".join(word() for _ in range(40)))[:rng.choice((9, 30, 70, 128))].strip()
+        window = contamination.plain(" ".join(word() for _ in range(40)))[:rng.choice((9, 30, 70, contamination.WINDOW))].strip()
         region = bytearray(window)
         for _ in range(rng.randrange(15)):
             p = rng.randrange(len(region))
@@ -212,6 +251,20 @@ def test_contamination(spark, hard, empty, docs, texts, tiny):
     assert kept.columns == hard.columns and {r.doc_id for r in kept.collect()} == {2, 3, 4, 6, 7, 8, 9, 10, 11, 13, 14} - {6}
 
 
+@pytest.mark.parametrize("words, least", [(15, 0.9), (17, 1.0), (25, 1.0)])
+def test_partial_copies(words, least):
+    """Stretches of an item inside other text, at every place."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghilmnoprstuvwy") for _ in range(rng.choice((3, 4, 5, 5, 6, 7, 8))))
+    item = [word() for _ in range(60)]
+    index = contamination.Index([("item", contamination.plain(" ".join(item)))])
+    found = [bool(index.found(contamination.plain(" ".join([word() for _ in range(40)] + item[a:a + words] + [word() for _ in range(40)]))))
+             for a in range(60 - words + 1)]
+    print(words, sum(found), len(found))
+    assert sum(found) / len(found) >= least
+    assert not any(index.found(contamination.plain(" ".join(word() for _ in range(150)))) for _ in range(50))
+
+
 def test_blocks_of_the_benchmark(docs, spark, tiny, monkeypatch):
     benchmark = spark.read.parquet(f"{tiny}/benchmark.parquet")
     want = {r.doc_id: sorted(r.items) for r in contamination.flag(docs, benchmark).collect()}
