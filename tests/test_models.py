@@ -152,6 +152,25 @@ def test_retrieval_pairs_and_centrality_match_brute_force(spark):
     assert [r.doc_id for r in best] == [-a for _, a in means]
 
 
+def test_similar_pairs_over_many_blocks(spark, monkeypatch):
+    """Every pair shares terms, few are near: none is lost or listed twice where blocks and steps are small."""
+    monkeypatch.setattr(retrieve, "BLOCK", 9)
+    monkeypatch.setattr(retrieve, "STEP", 4)
+    rng = np.random.default_rng(3)
+    tf = rng.integers(1, 5, (40, 30)) * (rng.random((40, 30)) < 0.5)
+    tf[20:25] = tf[:5]
+    tf[25:30] = tf[5:10]
+    tf[25:30, 0] += 1
+    unit = tf / np.linalg.norm(tf, axis=1, keepdims=True)
+    rows = [(d, f"t{t}", int(tf[d, t]), float(unit[d, t])) for d in range(40) for t in range(30) if tf[d, t]]
+    w = spark.createDataFrame(rows, "doc_id long, term string, tf long, weight double")
+    reps = [d for d in range(40) if not 20 <= d < 25]
+    want = {(a, b, 1 + (a < 5), 1 + (b < 5), round(float(unit[a] @ unit[b]), 6)) for a in reps for b in reps if a < b and unit[a] @ unit[b] >= 0.7}
+    got = retrieve.similar_pairs(w, 0.7).select("doc_a", "doc_b", "copies_a", "copies_b", "cosine").collect()
+    assert len(want) >= 5 and len(got) == len(want)
+    assert {tuple(r)[:4] for r in got} == {x[:4] for x in want}
+
+
 def test_promotion_fold(spark):
     df = spark.createDataFrame([("m", i + 1, f) for i, f in enumerate([0.80, 0.805, 0.82, 0.81])], "model_name string, version int, f1 double")
     stages = {r.version: r.stage for r in registry.promotions(df).collect()}
