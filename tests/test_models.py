@@ -229,6 +229,18 @@ def test_cbow_related_words_are_nearer(spark):
     assert cos("sun", "moon") > cos("sun", "bread") and cos("milk", "rice") > cos("milk", "star")
 
 
+def test_neighbours_over_blocks_larger_than_one_product(spark):
+    v = np.random.default_rng(4).standard_normal((3 * embed.AT_ONCE // 2, 4))
+    table = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(v)], "id long, vector array<double>")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    scores = np.round(u @ u.T, 6)
+    np.fill_diagonal(scores, -2)
+    got = defaultdict(list)
+    for r in embed.neighbours(table, table.select("id"), 3, "id", batch=1000, rows=100).orderBy("rank").collect():
+        got[r.query].append(r.similarity)
+    assert len(got) == len(v) and all(np.allclose(got[i], np.sort(scores[i])[::-1][:3], atol=2e-6) for i in got)
+
+
 def test_document_vectors_ignore_unknown_words(spark):
     docs = spark.createDataFrame([(1, ["x", "y", "zzz"]), (2, ["zzz"])], "doc_id long, tokens array<string>")
     vectors = spark.createDataFrame([("x", [1.0, 0.0]), ("y", [0.0, 1.0])], "word string, vector array<double>")
