@@ -123,3 +123,17 @@ def test_runs_of_y(spark):
 
     df = spark.createDataFrame([(w,) for w in words], "w string")
     assert {r.w: r.c for r in df.select("w", letter_classes(F.col("w")).alias("c")).collect()} == {w: slow(w) for w in words}
+
+
+def test_texts_are_cleaned_once_and_only_with_a_label(spark, tiny, monkeypatch):
+    from corpusloom.queries import base
+
+    monkeypatch.setattr(base, "shared", lambda spark, data, name, build: build())
+    plan = base.labelled(spark, tiny)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("trim(regexp_replace(") == 1  # a second one would be the filter, below the join with the labels
+
+
+def test_replacement_after_a_letter_of_two_code_units(spark):
+    rows = [("\U00010428ka ka",), ("sab, hai!",), ("saba",), ("",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t string").select(text.replace_words(F.col("t"))).collect()]
+    assert got == ["\U00010428ka of", "all, is!", "saba", "", None]
