@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from ..functions import text as tx
 from ..functions.fixed import ROMAN_URDU, stopwords
 from ..functions.numbers import ratio
 from ..functions.tokens import WORD, in_list, tokenize
+from ..session import settle
 from .ordered import quantiles
 
 FLAGS = {"html_tags": tx.TAG, "urls": tx.URL, "handles": tx.HANDLE, "emojis": tx.EMOJI,
@@ -43,8 +44,9 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles, max per column, long form.
 
     Quartiles are exact and come from a histogram and the values of three cells; no
-    state holds a column's values.
+    state holds a column's values.  The columns are computed once, for all passes.
     """
+    df = settle(df.select(*columns))
     pairs = ", ".join(f"'{c}', cast({c} as double)" for c in columns)
     long = df.selectExpr(f"stack({len(columns)}, {pairs}) as (metric, value)")
     moments = long.groupBy("metric").agg(
@@ -56,11 +58,13 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         "mean", "std", "min", "q25", "q50", "q75", "max")])
 
 
-def oov_by_document(tokens: DataFrame, lexicon: DataFrame, keys: Sequence[str]) -> DataFrame:
+def oov_by_document(tokens: DataFrame, lexicon: DataFrame, keys: Sequence[str],
+                    marks: Mapping[str, Column] | None = None) -> DataFrame:
     """Share of a document's tokens that are alphabetic and not in the lexicon.
 
     ``tokens`` has one row per (keys, token) with a count ``tf``.  Counting
-    before the join keeps frequent words to one row per document.
+    before the join keeps frequent words to one row per document.  ``marks`` names
+    further conditions whose tokens are counted.
     """
     known = lexicon.select(F.col("term").alias("token")).distinct().withColumn("known", F.lit(True))
     alpha = F.col("token").rlike(r"^\p{L}+$")
@@ -69,28 +73,32 @@ def oov_by_document(tokens: DataFrame, lexicon: DataFrame, keys: Sequence[str])
     return joined.groupBy(*keys).agg(
         F.sum("tf").alias("tokens"),
         F.sum(F.when(alpha & F.col("known").isNull(), F.col("tf")).otherwise(0)).alias("unknown"),
+        *[F.sum(F.when(c, F.col("tf")).otherwise(0)).alias(n) for n, c in (marks or {}).items()],
     ).withColumn("oov_rate", ratio(F.col("unknown"), F.col("tokens")))
 
 
 def compare_tokenizers(docs: DataFrame, lexicon: DataFrame, text: str = "clean_text",
                        methods: Sequence[str] = ("custom", "word", "treebank")) -> DataFrame:
-    """Averages per document of tokens, OOV rate, contractions, dictionary words."""
+    """Averages per document of tokens, OOV rate, contractions, dictionary words.
+
+    Texts are cut once; all figures come from the token counts of each document.
+    """
+    named = F.explode(F.array(*[F.lit(m) for m in methods])).alias("method")
+    counts = docs.select(named, F.col(text).isNotNull().alias("_known")).groupBy("method").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if("_known").alias("_known"))
     stacked = docs.select("doc_id", F.explode(F.array(*[
         F.struct(F.lit(m).alias("method"), tokenize(F.col(text), m).alias("toks"))
         for m in methods])).alias("m")).select("doc_id", "m.method", "m.toks")
-    counts = stacked.groupBy("method").agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.avg(F.size("toks")).alias("avg_tokens"),
-        F.avg(F.size(F.filter("toks", lambda t: t.contains("'")))).alias("avg_contractions"),
-        F.avg(dictionary_count(F.col("toks"))).alias("avg_roman_terms"))
     tokens = (stacked.select("doc_id", "method", F.explode("toks").alias("token"))
               .groupBy("doc_id", "method", "token").agg(F.count(F.lit(1)).alias("tf")))
-    oov = oov_by_document(tokens, lexicon, ["doc_id", "method"]).groupBy("method").agg(
-        F.sum("oov_rate").alias("oov_sum"))
-    return counts.join(oov, "method", "left").select(
-        "method", "documents", *[F.round(c, 6).alias(c) for c in (
-            "avg_tokens", "avg_contractions", "avg_roman_terms")],
-        F.round(F.coalesce("oov_sum", F.lit(0.0)) / F.col("documents"), 6).alias("avg_oov_rate"))
+    marks = {"contractions": F.col("token").contains("'"), "roman_terms": in_list(F.col("token"), sorted(ROMAN_URDU))}
+    per_doc = oov_by_document(tokens, lexicon, ["doc_id", "method"], marks)
+    sums = per_doc.groupBy("method").agg(*[F.sum(c).alias(c) for c in ("oov_rate", "tokens", *marks)])
+    return counts.join(sums, "method", "left").select(
+        "method", "documents", *[
+            F.when(F.col("_known") > 0, F.round(F.coalesce(c, F.lit(0)) / F.col("_known"), 6)).alias(f"avg_{c}")
+            for c in ("tokens", "contractions", "roman_terms")],
+        F.round(F.coalesce("oov_rate", F.lit(0.0)) / F.col("documents"), 6).alias("avg_oov_rate"))
 
 
 def removal_rates(docs: DataFrame, tokens: str = "tokens") -> DataFrame:

@@ -137,3 +137,17 @@ def test_replacement_after_a_letter_of_two_code_units(spark):
     rows = [("\U00010428ka ka",), ("sab, hai!",), ("saba",), ("",), (None,)]
     got = [r[0] for r in spark.createDataFrame(rows, "t string").select(text.replace_words(F.col("t"))).collect()]
     assert got == ["\U00010428ka of", "all, is!", "saba", "", None]
+
+
+def test_audit_columns_and_tokens_are_computed_once(spark, monkeypatch):
+    from corpusloom.operators import audit
+
+    settled = []
+    monkeypatch.setattr(audit, "settle", lambda df: settled.append(df) or df, raising=False)
+    audit.describe(spark.range(4).select(F.col("id").alias("x")), ["x"])
+    assert [df.columns for df in settled] == [["x"]]
+    docs = spark.createDataFrame([(1, "don't go hai"), (2, None), (3, "")], "doc_id long, clean_text string")
+    found = audit.compare_tokenizers(docs, spark.createDataFrame([("go",)], "term string"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 1
+    rows = {r.method: r for r in found.collect()}
+    assert rows["word"][1:] == (3, 1.5, 0.5, 0.5, 0.111111)  # of two texts, of three documents
