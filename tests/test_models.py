@@ -246,3 +246,15 @@ def test_document_vectors_ignore_unknown_words(spark):
     vectors = spark.createDataFrame([("x", [1.0, 0.0]), ("y", [0.0, 1.0])], "word string, vector array<double>")
     got = {r.doc_id: r.vector for r in embed.document_vectors(docs, vectors, 2).collect()}
     assert got == {1: [0.5, 0.5], 2: [0.0, 0.0]}
+
+
+def test_document_vectors_over_parts(spark, monkeypatch):
+    monkeypatch.setattr(embed, "PART_WORDS", 3, raising=False)
+    docs = spark.createDataFrame([(1, ["a", "a", "b"]), (2, ["b", "x"]), (3, ["x"]), (4, []), (5, None), (6, ["c"]), (6, ["a"]), (None, ["a"])], "doc_id long, tokens array<string>")
+    words = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [4.0, 8.0]), ("c", [0.0, 3.0]), ("c", [6.0, 0.0])], "word string, vector array<double>")
+    got = embed.document_vectors(docs, words, 2)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan  # a vector once a part and word, not once a document and word
+    found = sorted((r.doc_id or 0, [round(v, 6) for v in r.vector]) for r in got.collect())
+    third = [round(7 / 3, 6), round(5 / 3, 6)]
+    assert found == [(0, [0.0, 0.0]), (1, [2.0, 4.0]), (2, [4.0, 8.0]), (3, [0.0, 0.0]), (4, [0.0, 0.0]), (5, [0.0, 0.0]), (6, third), (6, third)]
