@@ -258,3 +258,19 @@ def test_document_vectors_over_parts(spark, monkeypatch):
     found = sorted((r.doc_id or 0, [round(v, 6) for v in r.vector]) for r in got.collect())
     third = [round(7 / 3, 6), round(5 / 3, 6)]
     assert found == [(0, [0.0, 0.0]), (1, [2.0, 4.0]), (2, [4.0, 8.0]), (3, [0.0, 0.0]), (4, [0.0, 0.0]), (5, [0.0, 0.0]), (6, third), (6, third)]
+
+
+def test_top_k_over_blocks_lists_no_candidates(spark):
+    rng = np.random.default_rng(3)
+    docs = spark.createDataFrame([(d, f"t{t}", float(w)) for d in range(60) for t, w in zip(rng.choice(30, 6, False).tolist(), rng.choice([0.25, 0.5, 0.75], 6), strict=True)] + [(None, "t1", 1.0)], "doc_id long, term string, weight double")
+    asked = spark.createDataFrame([(q, f"t{t}", 0.5) for q in range(7) for t in rng.choice(40, 5, False).tolist()] + [(None, "t1", 1.0)], "query_id long, term string, weight double")
+    rows, want = docs.filter("doc_id IS NOT NULL").collect(), []
+    for q, terms_of in asked.filter("query_id IS NOT NULL").toPandas().groupby("query_id"):
+        score = defaultdict(float)
+        for d, t, w in rows:
+            if t in set(terms_of.term):
+                score[d] += 0.5 * w
+        want += [(q, d, round(s, 6), i + 1) for i, (d, s) in enumerate(sorted(score.items(), key=lambda x: (-x[1], x[0]))[:5])]
+    got = retrieve.top_k(asked, docs, 5, held=4)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 1  # numbers of terms; no pairs of documents and queries
+    assert sorted(tuple(r) for r in got.select("query_id", "doc_id", "cosine", "rank").collect()) == sorted(want)
