@@ -258,7 +258,8 @@ from . import stemsql  # noqa: E402
 
 
 def _vocabulary(spark: SparkSession, data: str) -> DataFrame:
-    return terms.term_stats(labelled_postings(spark, data))
+    """Terms and their counts, which every normaliser starts from."""
+    return shared(spark, data, "vocabulary", lambda: terms.term_stats(labelled_postings(spark, data)))
 
 
 def _stemmed(spark: SparkSession, data: str, algorithm: str) -> DataFrame:
