@@ -9,6 +9,7 @@ from ..functions.fixed import LABELS
 from ..operators import bayes, linear, metrics, terms
 from ..operators.stages import CountBayes
 from ..operators.vectors import apply_stages, fit_vectoriser
+from ..session import settle
 from . import sql
 from .base import labelled, labelled_postings, labelled_split, query, shared, table
 
@@ -126,7 +127,7 @@ weighted AS (SELECT {keys}round(sum(hits)::DOUBLE / sum(support), 6) AS accuracy
 @query("nb_alpha_sweep", f"""WITH {BASE_SQL}, {nb_sql(ALPHAS)}, {metrics_sql('pred', 'alpha')}
 SELECT *, row_number() OVER (ORDER BY f1 DESC, alpha) = 1 AS best FROM weighted""")
 def nb_alpha_sweep(spark: SparkSession, data: str) -> DataFrame:
-    table = metrics.evaluate(nb_scores(spark, data, ALPHAS), by=["alpha"])
+    table = settle(metrics.evaluate(nb_scores(spark, data, ALPHAS), by=["alpha"]))  # a row a smoothing; read twice
     best = table.agg(F.max_by("alpha", F.struct("f1", -F.col("alpha"))).alias("best_alpha"))
     return terms.attach(table, best).withColumn("best", F.col("alpha") == F.col("best_alpha")).drop("best_alpha")
 
