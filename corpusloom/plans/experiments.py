@@ -17,7 +17,7 @@ from ..operators import linear, metrics, registry, terms
 from ..operators.corpus import combine
 from ..operators.stages import CountBayes, LeadingDirections, Projection
 from ..operators.vectors import apply_stages, fit_vectoriser
-from ..session import settle
+from ..session import beside, settle
 from ..sources import runs
 from .config import Setup
 from .preprocess import lexicon_of, preprocess
@@ -143,8 +143,10 @@ def run_group(setups: Sequence[Setup], corpus: Corpus, store: str | None = None,
     With ``store`` each configuration is logged as a run; with ``register`` the best of
     each family is also stored as a model and registered as its next version.
     """
-    fitted = [fit(c, corpus) for c in setups]
-    rows = combine([summarise(f).withColumn("run_order", F.lit(i)) for i, f in enumerate(fitted)])
+    for setup in setups:
+        corpus.tables(setup)  # shared ones are built before the fits need them
+    fitted = beside(lambda c: fit(c, corpus), setups)
+    rows = combine([r.withColumn("run_order", F.lit(i)) for i, r in enumerate(beside(summarise, fitted))])
     if store is None:
         return rows
     spark, rows = corpus.docs.sparkSession, settle(rows)

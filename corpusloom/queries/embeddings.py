@@ -14,7 +14,7 @@ from ..operators.corpus import combine
 from ..operators.vectors import apply_stages, fit_vectoriser, sparse_vector
 from ..plans import experiments as ex
 from ..plans.config import FEATURE_GROUP, MODEL_GROUP, PREPROCESSING_GROUP, Setup, Tokens
-from ..session import settle
+from ..session import beside, settle
 from . import sql
 from .base import labelled, labelled_postings, labelled_split, query, shared, table
 from .learning import nb_best
@@ -252,7 +252,7 @@ def lr_bow(spark: SparkSession, data: str) -> DataFrame:
 @query("lr_variants")
 def lr_variants(spark: SparkSession, data: str) -> DataFrame:
     rows, _ = _features(spark, data)
-    return combine([_evaluated(rows, p, p, True) for p in ("l1", "l2", "elasticnet")])
+    return combine(beside(lambda p: _evaluated(rows, p, p, True), ("l1", "l2", "elasticnet")))
 
 
 @query("lr_top_features")
@@ -314,18 +314,19 @@ def poly_lr(spark: SparkSession, data: str) -> DataFrame:
     rows, names = _features(spark, data)
     pca = projection.fit_pca(_sides(rows)[0], len(names))
     flat = settle(pca.project(rows, ["doc_id", "label", "part"]))
-    parts = []
-    for degree, n_features in ((1, 2), (2, 5), (3, 9)):
+
+    def row(degree: int, n_features: int) -> DataFrame:
         train, test = _sides(projection.expand(flat, degree))
         model = linear.fit_logistic(train)
         on = {name: metrics.evaluate(linear.predict(model, side, ["doc_id", "label"]))
               for name, side in (("train", train), ("test", test))}
-        parts.append(terms.attach(on["test"].select("accuracy", "f1"), on["train"].select(
+        return terms.attach(on["test"].select("accuracy", "f1"), on["train"].select(
             F.col("accuracy").alias("train_accuracy"))).select(
             F.lit(degree).alias("degree"), F.lit(n_features).alias("features"), "train_accuracy",
             F.col("accuracy").alias("test_accuracy"), "f1",
-            F.lit(projection.full_space_size(len(names))).alias("full_space")))
-    return combine(parts)
+            F.lit(projection.full_space_size(len(names))).alias("full_space"))
+
+    return combine(beside(lambda d: row(*d), ((1, 2), (2, 5), (3, 9))))
 
 
 # --- experiments ----------------------------------------------------------------------------

@@ -260,6 +260,15 @@ def test_document_vectors_over_parts(spark, monkeypatch):
     assert found == [(0, [0.0, 0.0]), (1, [2.0, 4.0]), (2, [4.0, 8.0]), (3, [0.0, 0.0]), (4, [0.0, 0.0]), (5, [0.0, 0.0]), (6, third), (6, third)]
 
 
+def test_independent_fits_run_side_by_side():
+    import threading
+
+    from corpusloom.session import beside
+
+    meet = threading.Barrier(2, timeout=20)
+    assert beside(lambda i: (meet.wait(), i)[1], [1, 2]) == [1, 2]  # one after the other would never meet
+
+
 def test_top_k_over_blocks_lists_no_candidates(spark):
     rng = np.random.default_rng(3)
     docs = spark.createDataFrame([(d, f"t{t}", float(w)) for d in range(60) for t, w in zip(rng.choice(30, 6, False).tolist(), rng.choice([0.25, 0.5, 0.75], 6), strict=True)] + [(None, "t1", 1.0)], "doc_id long, term string, weight double")
