@@ -229,6 +229,51 @@ def test_cbow_related_words_are_nearer(spark):
     assert cos("sun", "moon") > cos("sun", "bread") and cos("milk", "rice") > cos("milk", "star")
 
 
+def test_skip_gram_chunks_hold_each_word_once_and_every_pair(monkeypatch):
+    rng = np.random.default_rng(3)
+    words, size, window, negative, step = 9, 4, 3, 5, 0.05
+    flat, doc = rng.integers(0, words, 3 * embed.CHUNK + 5), np.sort(rng.integers(0, 6, 3 * embed.CHUNK + 5))
+    a, b = rng.standard_normal((2, words, size)).astype(np.float32)
+    cum = np.cumsum(np.bincount(flat, minlength=words) ** 0.75)
+    cum /= cum[-1]
+    draws = np.random.default_rng(5)
+    reach = draws.integers(1, window + 1, size=len(flat))
+    drawn = np.searchsorted(cum, draws.random((-(-len(flat) // embed.CHUNK), embed.DRAWN)))
+    x, y, seen = a.astype(float), b.astype(float), np.zeros((2, words))
+    for start in range(0, len(flat), embed.CHUNK):
+        to_x, to_y = np.zeros_like(x), np.zeros_like(y)
+        for i in range(start, min(start + embed.CHUNK, len(flat))):
+            for j in range(max(0, i - reach[i]), min(len(flat), i + reach[i] + 1)):
+                if j == i or doc[i] != doc[j]:
+                    continue
+                negatives = [(k, negative / embed.DRAWN, 0.0) for k in drawn[start // embed.CHUNK] if k != flat[j]]
+                for k, share, truth in [(flat[j], 1.0, 1.0), *negatives]:
+                    error = step * share * (truth - 1 / (1 + np.exp(-x[flat[i]] @ y[k])))
+                    to_x[flat[i]] += error * y[k]
+                    to_y[k] += error * x[flat[i]]
+                    seen[1, k] += share
+                seen[0, flat[i]] += 1
+        for table, moves in ((x, to_x), (y, to_y)):
+            length = np.linalg.norm(moves, axis=1, keepdims=True)
+            table += moves * np.minimum(1, embed.LONGEST / np.maximum(length, 1e-30))
+    move, met = embed._move, []
+    monkeypatch.setattr(embed, "_move", lambda table, rows, *rest: (met.append(rows), move(table, rows, *rest)))
+    got = np.zeros((2, words))
+    embed._pairs(flat, doc, a, b, got, cum, window, negative, step, np.random.default_rng(5))
+    assert np.allclose(a, x, atol=1e-4) and np.allclose(b, y, atol=1e-4) and np.allclose(got, seen, rtol=1e-4)
+    assert met and all(len(set(rows.tolist())) == len(rows) for rows in met)  # words repeated in a chunk cost no more rows
+
+
+def test_skip_gram_related_words_are_nearer(spark):
+    rng = np.random.default_rng(0)
+    groups = [["sun", "moon", "star", "sky"], ["bread", "milk", "rice", "salt"]]
+    rows = [(i, [str(w) for w in rng.choice(groups[i % 2], 12)]) for i in range(300)] + [(300, None), (301, []), (None, ["sun", "rare"])]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>").repartition(2)
+    v = {r.word: np.array(r.vector) for r in embed.skip_gram(df, size=16, epochs=8, rate=0.1).collect()}
+    cos = lambda a, b: v[a] @ v[b] / np.linalg.norm(v[a]) / np.linalg.norm(v[b])
+    assert set(v) == {w for g in groups for w in g} and cos("sun", "moon") > cos("sun", "bread") and cos("milk", "rice") > cos("milk", "star")
+
+
 def test_neighbours_over_blocks_larger_than_one_product(spark):
     v = np.random.default_rng(4).standard_normal((3 * embed.AT_ONCE // 2, 4))
     table = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(v)], "id long, vector array<double>")
