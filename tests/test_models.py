@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import bayes, embed, langmodel, linear, metrics, projection, registry, retrieve, sampling, terms
 from corpusloom.operators.vectors import apply_stages, fit_vectoriser
+from corpusloom.queries import QUERIES, base
 
 DOCS = [(1, "fake", "a b a c".split()), (2, "fake", "a b b".split()), (3, "real", "c d e".split()),
         (4, "real", "d e a".split()), (5, "real", "d d".split())]
@@ -152,6 +153,25 @@ def test_retrieval_pairs_and_centrality_match_brute_force(spark):
     assert [r.doc_id for r in best] == [-a for _, a in means]
 
 
+def test_corpus_centrality_keeps_a_row_a_document(spark, tmp_path):
+    """Repeated and null ids are one document each; no row a term is kept or sorted by document."""
+    texts = [(1, "sun moon sun"), (2, "moon bread"), (2, "bread it's"), (None, "sun salt"), (None, "salt rice"), (3, None), (4, ""), (5, "rice rice milk")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string").withColumn("source", F.lit("s"))
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["corpus_centrality"](spark, str(tmp_path))
+    kept = {name: frame for (_, data, name), frame in base._shared.items() if data == str(tmp_path)}
+    assert set(kept) == {"document_terms", "corpus_idf"} and kept["document_terms"].count() == 4
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+    split = rows.select("doc_id", F.split("text", " ").alias("tokens")).filter("text <> ''")
+    post = terms.postings(split)
+    idfs = terms.idf(terms.vocabulary(post), rows, False)
+    want = terms.weigh(post, idfs)
+    found = terms.weigh_packed(kept["document_terms"], kept["corpus_idf"])
+    as_set = lambda df: {(r.doc_id, r.term, r.tf, round(r.weight, 12)) for r in df.collect()}
+    assert as_set(found) == as_set(want) and found.count() == want.count() and as_set(terms.weigh(base.document_postings(spark, str(tmp_path)), idfs)) == as_set(want)
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in retrieve.centrality(want, rows, 10).collect()]
+
+
 def test_similar_pairs_over_many_blocks(spark, monkeypatch):
     """Every pair shares terms, few are near: none is lost or listed twice where blocks and steps are small."""
     monkeypatch.setattr(retrieve, "BLOCK", 9)
