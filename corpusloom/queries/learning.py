@@ -11,7 +11,7 @@ from ..operators.stages import CountBayes
 from ..operators.vectors import apply_stages, fit_vectoriser
 from ..session import settle
 from . import sql
-from .base import labelled, labelled_postings, labelled_split, query, shared, table
+from .base import labelled, labelled_split, labelled_terms, query, shared, table
 
 ALPHAS = (0.01, 0.1, 0.5, 1.0, 2.0, 5.0)
 FEATURES = 5000
@@ -53,8 +53,8 @@ pred AS (SELECT *, CASE WHEN round(score_fake, 6) >= round(score_real, 6) THEN '
 def split_frames(spark: SparkSession, data: str) -> dict[str, DataFrame]:
     parts = labelled_split(spark, data)
     docs = {p: parts.filter(F.col("part") == p).drop("part") for p in ("train", "test")}
-    post = labelled_postings(spark, data)
-    rows = {p: post.join(docs[p].select("doc_id"), "doc_id") for p in docs}
+    post = labelled_terms(spark, data)  # a row a document is joined, then its terms are laid out
+    rows = {p: terms.unpacked(post.join(docs[p].select("doc_id"), "doc_id"), ["label"]) for p in docs}
     return {"train_docs": docs["train"], "test_docs": docs["test"],
             "train": rows["train"], "test": rows["test"]}
 

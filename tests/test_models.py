@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import bayes, embed, langmodel, linear, metrics, projection, registry, retrieve, sampling, terms
 from corpusloom.operators.vectors import apply_stages, fit_vectoriser
-from corpusloom.queries import QUERIES, base
+from corpusloom.queries import QUERIES, base, learning
 
 DOCS = [(1, "fake", "a b a c".split()), (2, "fake", "a b b".split()), (3, "real", "c d e".split()),
         (4, "real", "d e a".split()), (5, "real", "d d".split())]
@@ -172,6 +172,21 @@ def test_corpus_centrality_keeps_a_row_a_document(spark, tmp_path):
     assert [tuple(r) for r in got.collect()] == [tuple(r) for r in retrieve.centrality(want, rows, 10).collect()]
 
 
+def test_split_joins_a_row_a_document(spark, tmp_path):
+    """Repeated ids count as often as they stand in the part, as rows a term did; only documents are joined."""
+    texts = [(i, f"sun moon w{i % 4} w{i % 4}") for i in range(20)] + [(3, "moon bread"), (4, None), (None, "sun")]
+    spark.createDataFrame(texts, "doc_id long, text string").withColumn("source", F.lit("s")).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(20)] + [(3, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    frames = learning.split_frames(spark, str(tmp_path))
+    kept = {name: frame for (_, data, name), frame in base._shared.items() if data == str(tmp_path)}
+    post = terms.postings(kept["labelled"], keep=["label"])
+    as_rows = lambda df: Counter((r.doc_id, r.label, r.term, r.tf) for r in df.collect())
+    assert kept["labelled_terms"].count() == post.select("doc_id", "label").distinct().count()
+    assert as_rows(base.labelled_postings(spark, str(tmp_path))) == as_rows(post)
+    for part in ("train", "test"):
+        assert as_rows(frames[part]) == as_rows(post.join(frames[f"{part}_docs"].select("doc_id"), "doc_id"))
+
+
 def test_similar_pairs_over_many_blocks(spark, monkeypatch):
     """Every pair shares terms, few are near: none is lost or listed twice where blocks and steps are small."""
     monkeypatch.setattr(retrieve, "BLOCK", 9)
