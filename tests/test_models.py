@@ -309,6 +309,26 @@ def test_skip_gram_related_words_are_nearer(spark):
     assert set(v) == {w for g in groups for w in g} and cos("sun", "moon") > cos("sun", "bread") and cos("milk", "rice") > cos("milk", "star")
 
 
+@pytest.mark.parametrize("mode", ["skip_gram", "cbow"])
+def test_epochs_and_waves_leave_nothing_behind(spark, monkeypatch, mode):
+    from pathlib import Path
+
+    from corpusloom.session import checkpoint_dir
+
+    kept = Path(checkpoint_dir(spark).removeprefix("file:"))
+    rng = np.random.default_rng(1)
+    rows = [(i, [f"w{k}" for k in rng.integers(0, 30, 12)]) for i in range(120)] + [(120, None), (None, ["w1", "w2"])]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    monkeypatch.setattr(embed, "PART_TOKENS", 200)  # 8 parts
+    found = []
+    for waves in (1, 3):
+        monkeypatch.setattr(embed, "_waves", lambda *_, waves=waves: waves, raising=False)
+        before = {p.name for p in kept.rglob("rdd-*")}
+        found.append({r.word: r.vector for r in getattr(embed, mode)(df, size=8, epochs=4, rate=0.1).collect()})
+        assert len({p.name for p in kept.rglob("rdd-*")} - before) == 1  # the model that is returned
+    assert set(found[0]) == set(found[1]) and all(np.allclose(v, found[1][w], atol=1e-4) for w, v in found[0].items())
+
+
 def test_neighbours_over_blocks_larger_than_one_product(spark):
     v = np.random.default_rng(4).standard_normal((3 * embed.AT_ONCE // 2, 4))
     table = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(v)], "id long, vector array<double>")
