@@ -41,7 +41,7 @@ class Corpus:
     def tables(self, setup: Setup) -> tuple[DataFrame, DataFrame]:
         """``(doc_id, label, part, tokens)`` and its train/test postings."""
         if setup.tokens not in self._tables:
-            done = preprocess(self.docs, setup, text=self.text, cleaned=self.cleaned)
+            done = preprocess(self.docs.select("doc_id", "label", "part", self.cleaned or self.text), setup, text=self.text, cleaned=self.cleaned, removed=False)
             toks = settle(done.select("doc_id", "label", "part",
                                       tokenize(F.col("processed_text"), "word").alias("tokens")))
             post = settle(terms.postings(toks, keep=["label", "part"]))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tokens as tk
-from ..functions.stems import stem_array
+from ..functions.stems import stem_array, stem_column
 from ..functions.text import clean_text
 from ..operators.audit import lemmas
+from ..operators.lookup import replaced
 from ..session import settle
 from .config import Setup
 
@@ -32,11 +33,12 @@ def lemmatise_array(df: DataFrame, tokens: str, lexicon: DataFrame | None = None
         tokens, F.when(F.col("_map").isNull(), F.col(tokens)).otherwise(swapped)).drop("_map", "_key")
 
 
-def split_words(df: DataFrame, setup: Setup, text: str = "text", cleaned: str | None = None) -> DataFrame:
-    """Adds ``_clean``, ``tokens`` and ``removed_stopwords``: cleaned, cut and without stopwords, not yet reduced."""
-    clean: Column = F.col(cleaned) if cleaned else clean_text(F.col(text))
-    base = df.withColumn("_clean", clean).withColumn("_all", tk.tokenize(F.col("_clean"), setup.tokens.tokenizer))
-    work = base.withColumn("removed_stopwords", tk.removed_stopwords(F.col("_all"), setup.tokens.stopword_list))
+def split_words(df: DataFrame, setup: Setup, text: str = "text", cleaned: str | None = None, removed: bool = True) -> DataFrame:
+    """Adds ``_clean`` (without ``cleaned``), ``tokens`` and ``removed_stopwords`` (unless not wanted): cut and without stopwords, not yet reduced."""
+    base = df if cleaned else df.withColumn("_clean", clean_text(F.col(text)))
+    work = base.withColumn("_all", tk.tokenize(F.col(cleaned or "_clean"), setup.tokens.tokenizer))
+    if removed:
+        work = work.withColumn("removed_stopwords", tk.removed_stopwords(F.col("_all"), setup.tokens.stopword_list))
     return work.withColumn("tokens", tk.remove_stopwords(F.col("_all"), setup.tokens.stopword_list)).drop("_all")
 
 
@@ -46,20 +48,22 @@ def lexicon_of(df: DataFrame, setup: Setup, text: str = "text", cleaned: str | N
 
 
 def preprocess(df: DataFrame, setup: Setup, text: str = "text", cleaned: str | None = None,
-               lexicon: DataFrame | None = None) -> DataFrame:
-    """Adds ``processed_text``, ``tokens`` and ``removed_stopwords``.
+               lexicon: DataFrame | None = None, removed: bool = True) -> DataFrame:
+    """Adds ``processed_text``, ``tokens`` and ``removed_stopwords`` (unless not wanted).
 
-    Without a normaliser, or with a stemmer, this is one projection.  The
+    Without a normaliser this is one projection.  A stemmer stems each different
+    word of a batch once; of a stream, each word where it stands.  The
     lemmatiser needs ``lexicon`` (column ``term``); by default the words of
     the corpus itself serve as lexicon.
     """
-    work = split_words(df, setup, text, cleaned)
+    work = split_words(df, setup, text, cleaned, removed)
     if setup.tokens.normalization in ("porter", "snowball"):
-        work = work.withColumn("tokens", stem_array(F.col("tokens"), setup.tokens.normalization))
+        work = (work.withColumn("tokens", stem_array(F.col("tokens"), setup.tokens.normalization)) if df.isStreaming
+                else replaced(work, "tokens", lambda words: stem_column(words, "word", setup.tokens.normalization, "form")))
     elif setup.tokens.normalization == "lemmatizer":
         work = lemmatise_array(work, "tokens", lexicon)
     elif setup.tokens.normalization != "none":
         raise ValueError(f"unknown normalization: {setup.tokens.normalization}")
     kept = tk.keep_long(F.col("tokens"), setup.tokens.min_token_length)
-    work = work.withColumn("tokens", tk.or_fallback(kept, F.col("_clean"))).drop("_clean")
+    work = work.withColumn("tokens", tk.or_fallback(kept, F.col(cleaned or "_clean"))).drop(*([] if cleaned else ["_clean"]))
     return work.withColumn("processed_text", F.array_join("tokens", " "))

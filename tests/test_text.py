@@ -151,3 +151,16 @@ def test_audit_columns_and_tokens_are_computed_once(spark, monkeypatch):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 1
     rows = {r.method: r for r in found.collect()}
     assert rows["word"][1:] == (3, 1.5, 0.5, 0.5, 0.111111)  # of two texts, of three documents
+
+
+def test_a_word_of_a_batch_is_stemmed_once(spark):
+    words = ["Relational", "hopping", "not", "ponies", "by"]
+    rows = [(i % 7 if i % 5 else None, " ".join(words[i % 3:]) if i % 4 else ["", None, "a"][i % 3]) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, clean_text string")
+    for algorithm in ("porter", "snowball"):
+        setup = Setup("x", Tokens("default", algorithm, 2))
+        done = preprocess(df, setup, cleaned="clean_text")
+        assert "FlatMapCoGroupsInArrow" in done._jdf.queryExecution().optimizedPlan().toString()
+        kept = tokens.keep_long(stems.stem_array(tokens.remove_stopwords(tokens.tokenize(F.col("clean_text"), "custom"), "default"), algorithm), 2)
+        want = df.select("doc_id", "clean_text", tokens.or_fallback(kept, F.col("clean_text")).alias("t"))
+        assert sorted(map(str, done.select("doc_id", "clean_text", "tokens").collect())) == sorted(str(r).replace(", t=", ", tokens=") for r in want.collect())
