@@ -18,10 +18,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ..functions.fixed import LABELS
 from ..functions.tokens import ngrams
 from ..session import settle
+from .lookup import replaced
 from .ordered import running_sums
 from .terms import attach, top_per_group
 
@@ -102,9 +104,13 @@ def fit(train: DataFrame, labels: Sequence[str] = LABELS, tokens: str = "tokens"
 
 def _numbered(docs: DataFrame, words: DataFrame, key: str, tokens: str, keep: Sequence[str] = ()) -> DataFrame:
     """``key, keep, ids``: the words of each document as numbers, in order; documents without words are left out."""
-    rows = docs.select(key, *keep, F.posexplode(tokens).alias("_pos", "word")).join(words, "word", "left")
-    listed = rows.groupBy(key, *keep).agg(F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("id", F.lit(UNKNOWN)).alias("id")))).alias("_list"))
-    return listed.select(key, *keep, F.col("_list.id").alias("ids"))
+    known = words.select("word", F.col("id").alias("form"))
+    rows = replaced(docs.select(key, *keep, tokens).filter(F.size(tokens) > 0), tokens, lambda asked: known.join(asked, "word", "left_semi"), LongType(), UNKNOWN, key)
+    listed = rows.groupBy(key, *keep).agg(F.collect_list(tokens).alias("_lists"))
+    # rows of one key are one document, their words place by place
+    places = F.flatten(F.transform("_lists", lambda ids: F.transform(ids, lambda x, i: F.struct(i.alias("_pos"), x.alias("id")))))
+    merged = F.transform(F.array_sort(places), lambda x: x["id"])
+    return listed.select(key, *keep, F.when(F.size("_lists") == 1, F.col("_lists")[0]).otherwise(merged).alias("ids"))
 
 
 def _trigrams(numbered: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -151,11 +157,10 @@ def trigram_probability(model: Model, triples: DataFrame) -> DataFrame:
     """``label, w1, w2, w3, p3`` for distinct word triples under each class."""
     marks = triples.sparkSession.createDataFrame([("<s>", START), ("</s>", END)], "word string, id long")
     known = model.words.unionByName(marks)
-    rows = triples
-    for w in words(3):
-        rows = rows.join(known.select(F.col("word").alias(w), F.col("id").alias(f"i_{w}")), w, "left")
-    number = {w: F.coalesce(f"i_{w}", F.lit(UNKNOWN)) for w in words(3)}
-    rows = rows.select(*words(3), (F.shiftleft(number["w1"], 32) + number["w2"]).alias("ctx"), number["w3"].alias("w"))
+    # a row a triple travels once with its words, not once a word
+    rows = replaced(triples.select(*words(3), F.array(*words(3)).alias("_ids")), "_ids",
+                    lambda asked: known.select("word", F.col("id").alias("form")).join(asked, "word", "left_semi"), LongType(), UNKNOWN)
+    rows = rows.select(*words(3), (F.shiftleft(F.col("_ids")[0], 32) + F.col("_ids")[1]).alias("ctx"), F.col("_ids")[2].alias("w"))
     found = rows.join(probabilities(model, rows.select("ctx", "w").distinct()), ["ctx", "w"])
     return found.select(*words(3), F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(f"p3_{c}").alias("p3")) for c in model.labels])).alias("x")).select(
         "x.label", *words(3), "x.p3")

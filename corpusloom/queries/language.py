@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.tokens import tokenize
 from ..operators import langmodel as lm
 from ..operators import metrics, sampling
+from ..session import settle
 from . import sql
 from .base import labelled, labelled_split, query, shared
 from .learning import metrics_sql
@@ -27,14 +28,18 @@ toks AS (SELECT c.doc_id, c.label, s.part, {sql.custom('c.clean_text')} AS k FRO
 train AS (SELECT * FROM toks WHERE part = 'train'), test AS (SELECT * FROM toks WHERE part = 'test')"""
 
 
-def _tokens(spark: SparkSession, data: str) -> DataFrame:
-    return shared(spark, data, "lm_tokens", lambda: labelled(spark, data).select(
-        "doc_id", "label", tokenize(F.col("clean_text"), "custom").alias("tokens")).join(
+def _texts(spark: SparkSession, data: str) -> DataFrame:
+    """``doc_id, label, clean_text, part``; kept as texts, which take a third of what their tokens do."""
+    return shared(spark, data, "lm_texts", lambda: labelled(spark, data).select("doc_id", "label", "clean_text").join(
         labelled_split(spark, data).select("doc_id", "part"), "doc_id"))
 
 
+def _cut(texts: DataFrame) -> DataFrame:
+    return texts.select("doc_id", "label", tokenize(F.col("clean_text"), "custom").alias("tokens"), "part")
+
+
 def _part(spark: SparkSession, data: str, name: str) -> DataFrame:
-    return _tokens(spark, data).filter(F.col("part") == name)
+    return _cut(_texts(spark, data).filter(F.col("part") == name))
 
 
 def _counts_sql(n: int) -> str:
@@ -127,7 +132,7 @@ _models: dict[tuple[str, str], lm.Model] = {}
 
 @query("kn_prob", f"WITH {KN_SQL} SELECT label, w1, w2, w3, round(p3, 8) AS p FROM p3")
 def kn_prob(spark: SparkSession, data: str) -> DataFrame:
-    triples = lm.gram_rows(_part(spark, data, "test"), 3, []).distinct()
+    triples = settle(lm.gram_rows(_part(spark, data, "test"), 3, []).distinct())
     return lm.trigram_probability(_model(spark, data), triples).select(
         "label", "w1", "w2", "w3", F.round("p3", 8).alias("p"))
 
@@ -182,11 +187,10 @@ def lm_v1_perplexity(spark: SparkSession, data: str) -> DataFrame:
 
 def _v1(spark: SparkSession, data: str) -> tuple[DataFrame, DataFrame]:
     """Perplexities of the test part of an unstratified split, and that part."""
-    tokens = _tokens(spark, data).drop("part")
     parts = sampling.split(labelled(spark, data).select("doc_id"), by=())
-    both = tokens.join(parts, "doc_id")
-    test = both.filter(F.col("part") == "test")
-    return lm.perplexity_v1(lm.fit(both.filter(F.col("part") == "train")), test), test
+    both = settle(_texts(spark, data).drop("part").join(parts, "doc_id"))
+    train, test = (_cut(both.filter(F.col("part") == p)) for p in ("train", "test"))
+    return lm.perplexity_v1(lm.fit(train), test), test
 
 
 @query("lm_v1_metrics", f"""WITH {V1_SQL},

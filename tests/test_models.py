@@ -254,6 +254,21 @@ def test_logistic_optimum_and_pca(spark, docs):
     assert np.allclose(pca.explained_variance_ratio, values[:2] / values.sum(), atol=1e-8)
 
 
+def test_words_are_numbered_without_a_row_a_word(spark):
+    rows = [(1, "fake", ["b", "a", "b"]), (1, "fake", ["c", None]), (2, "real", []), (3, "real", None), (None, "real", ["a"]), (None, "fake", ["x", "a"])]
+    docs = spark.createDataFrame(rows, "doc_id long, label string, tokens array<string>")
+    words = spark.createDataFrame([("a", 3), ("b", 4), ("c", 5)], "word string, id long")
+    got = langmodel._numbered(docs, words, "doc_id", "tokens", ["label"])
+    assert "FlatMapCoGroupsInArrow" in got._jdf.queryExecution().optimizedPlan().toString()
+    # rows of one key are one document, place by place
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [(1, "fake", [4, 5, 0, 3, 4]), (None, "real", [3]), (None, "fake", [0, 3])]))
+    model = langmodel.fit(docs.filter("doc_id = 1 or label = 'real'"))
+    asked = spark.createDataFrame([("<s>", "<s>", "a"), ("b", "x", "</s>"), ("x", "y", "b")], "w1 string, w2 string, w3 string")
+    found = langmodel.trigram_probability(model, asked)
+    assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.label, r.w1, r.w2, r.w3) for r in found.collect()} == {(c, *t) for c in ("fake", "real") for t in map(tuple, asked.collect())}
+
+
 def test_cbow_related_words_are_nearer(spark):
     rng = np.random.default_rng(0)
     groups = [["sun", "moon", "star", "sky"], ["bread", "milk", "rice", "salt"]]
