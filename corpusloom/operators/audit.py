@@ -81,18 +81,29 @@ def compare_tokenizers(docs: DataFrame, lexicon: DataFrame, text: str = "clean_t
                        methods: Sequence[str] = ("custom", "word", "treebank")) -> DataFrame:
     """Averages per document of tokens, OOV rate, contractions, dictionary words.
 
-    Texts are cut once; all figures come from the token counts of each document.
+    Counts come from the rows themselves.  For the unknown words a document's words are
+    counted once for all methods, and only alphabetic ones meet the lexicon.
     """
     named = F.explode(F.array(*[F.lit(m) for m in methods])).alias("method")
     counts = docs.select(named, F.col(text).isNotNull().alias("_known")).groupBy("method").agg(
         F.count(F.lit(1)).alias("documents"), F.count_if("_known").alias("_known"))
-    stacked = docs.select("doc_id", F.explode(F.array(*[
-        F.struct(F.lit(m).alias("method"), tokenize(F.col(text), m).alias("toks"))
-        for m in methods])).alias("m")).select("doc_id", "m.method", "m.toks")
-    tokens = (stacked.select("doc_id", "method", F.explode("toks").alias("token"))
-              .groupBy("doc_id", "method", "token").agg(F.count(F.lit(1)).alias("tf")))
-    marks = {"contractions": F.col("token").contains("'"), "roman_terms": in_list(F.col("token"), sorted(ROMAN_URDU))}
-    per_doc = oov_by_document(tokens, lexicon, ["doc_id", "method"], marks)
+    cut = docs.select("doc_id", *[tokenize(F.col(text), m).alias(m) for m in methods])
+    stacked = cut.select("doc_id", F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.col(m).alias("toks")) for m in methods])).alias("m")).select(
+        "doc_id", "m.method", "m.toks").filter(F.size("toks") > 0)
+    marks = {"contractions": lambda t: t.contains("'"), "roman_terms": lambda t: in_list(t, sorted(ROMAN_URDU))}
+    # rows of one key are one document; only the share of unknown words takes a look at the lexicon
+    sizes = stacked.groupBy("doc_id", "method").agg(F.sum(F.size("toks")).alias("tokens"), *[
+        F.sum(F.size(F.filter("toks", mark))).alias(n) for n, mark in marks.items()])
+
+    def alphabetic(number: int, method: str) -> Column:
+        return F.transform(F.filter(method, lambda t: t.rlike(r"^\p{L}+$")), lambda t: F.struct(F.lower(t).alias("term"), F.lit(number).alias("at")))
+
+    words = cut.select("doc_id", F.explode(F.flatten(F.array(*[F.coalesce(alphabetic(i, m), F.array().cast("array<struct<term: string, at: int>>")) for i, m in enumerate(methods)]))).alias("w"))
+    counted = words.groupBy("doc_id", "w.term").agg(*[F.count_if(F.col("w.at") == i).alias(f"n_{i}") for i in range(len(methods))])
+    unknown = counted.join(lexicon.select("term").distinct(), "term", "left_anti").groupBy("doc_id").agg(*[F.sum(f"n_{i}").alias(f"n_{i}") for i in range(len(methods))])
+    unknown = unknown.select(F.col("doc_id").alias("_doc"), F.explode(F.array(*[F.struct(F.lit(m).alias("_method"), F.col(f"n_{i}").alias("unknown")) for i, m in enumerate(methods)])).alias("u")).select("_doc", "u.*")
+    per_doc = sizes.join(unknown, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("method") == F.col("_method")), "left").withColumn(
+        "oov_rate", ratio(F.coalesce("unknown", F.lit(0)), F.col("tokens")))
     sums = per_doc.groupBy("method").agg(*[F.sum(c).alias(c) for c in ("oov_rate", "tokens", *marks)])
     return counts.join(sums, "method", "left").select(
         "method", "documents", *[

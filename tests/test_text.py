@@ -164,3 +164,26 @@ def test_a_word_of_a_batch_is_stemmed_once(spark):
         kept = tokens.keep_long(stems.stem_array(tokens.remove_stopwords(tokens.tokenize(F.col("clean_text"), "custom"), "default"), algorithm), 2)
         want = df.select("doc_id", "clean_text", tokens.or_fallback(kept, F.col("clean_text")).alias("t"))
         assert sorted(map(str, done.select("doc_id", "clean_text", "tokens").collect())) == sorted(str(r).replace(", t=", ", tokens=") for r in want.collect())
+
+
+def test_only_alphabetic_words_meet_the_lexicon(spark):
+    from collections import Counter
+
+    from corpusloom.operators import audit
+
+    rows = [(1, "Don't GO go, 12 ok!"), (2, None), (2, "ok zz"), (None, "zz go"), (None, "hai"), (3, ""), (4, "can't 7")]
+    docs = spark.createDataFrame(rows, "doc_id long, clean_text string")
+    found = audit.compare_tokenizers(docs, spark.createDataFrame([("go",), ("do",)], "term string"))
+    assert "LeftAnti" in found._jdf.queryExecution().optimizedPlan().toString()  # one row a document and word, not one a method
+    for r in found.collect():
+        cut = docs.select("doc_id", tokens.tokenize(F.col("clean_text"), r.method).alias("t")).collect()
+        held = Counter()
+        for doc, words in cut:
+            for w in words or []:
+                held[doc] += 1
+                held[doc, "bad"] += w.isalpha() and w.lower() not in ("go", "do")
+        shares = [held[d, "bad"] / held[d] for d in {d for d, t in cut if t}]
+        known = sum(t is not None for _, t in cut)
+        assert r.documents == len(rows) and r.avg_tokens == round(sum(len(t or []) for _, t in cut) / known, 6)
+        assert r.avg_oov_rate == round(sum(shares) / len(rows), 6)
+        assert r.avg_contractions == round(sum("'" in w for _, t in cut for w in t or []) / known, 6)
