@@ -138,8 +138,9 @@ def probabilities(model: Model, asked: DataFrame) -> DataFrame:
     pair = F.col("ctx").bitwiseAND(F.lit(_LOW))
     pairs = asked.select(pair.alias("ctx"), "w").distinct()
     joined = attach(pairs.join(model.bigrams, ["ctx", "w"], "left").join(model.contexts(2), "ctx", "left").join(model.preceded(2), "w", "left"), model.sizes())
-    two = joined.select(F.col("ctx").alias("_pair"), F.col("w").alias("_w"), *[x for c in model.labels for x in (
-        _interpolate(c, _lowest(c), _uniform(c)).alias(f"p2_{c}"), _uniform(c).alias(f"u_{c}"))])
+    # settled: what was shuffled for pairs goes before triples are
+    two = settle(joined.select(F.col("ctx").alias("_pair"), F.col("w").alias("_w"), *[x for c in model.labels for x in (
+        _interpolate(c, _lowest(c), _uniform(c)).alias(f"p2_{c}"), _uniform(c).alias(f"u_{c}"))]))
     three = asked.join(model.trigrams, ["ctx", "w"], "left").join(model.contexts(3), "ctx", "left")
     both = three.join(two, (pair == two["_pair"]) & (three["w"] == two["_w"]))
     return both.select("ctx", "w", *model.columns("p2"), *[_interpolate(c, F.col(f"p2_{c}"), F.col(f"u_{c}")).alias(f"p3_{c}") for c in model.labels])
@@ -160,7 +161,7 @@ def trigram_probability(model: Model, triples: DataFrame) -> DataFrame:
     # a row a triple travels once with its words, not once a word
     rows = replaced(triples.select(*words(3), F.array(*words(3)).alias("_ids")), "_ids",
                     lambda asked: known.select("word", F.col("id").alias("form")).join(asked, "word", "left_semi"), LongType(), UNKNOWN)
-    rows = rows.select(*words(3), (F.shiftleft(F.col("_ids")[0], 32) + F.col("_ids")[1]).alias("ctx"), F.col("_ids")[2].alias("w"))
+    rows = settle(rows.select(*words(3), (F.shiftleft(F.col("_ids")[0], 32) + F.col("_ids")[1]).alias("ctx"), F.col("_ids")[2].alias("w")))
     found = rows.join(probabilities(model, rows.select("ctx", "w").distinct()), ["ctx", "w"])
     return found.select(*words(3), F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(f"p3_{c}").alias("p3")) for c in model.labels])).alias("x")).select(
         "x.label", *words(3), "x.p3")
